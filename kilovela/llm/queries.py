@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilovela.llm import survivors
+from kilovela.llm import canonical, leakage, mixing, stuffing, survivors
 from kilovela.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,7 +25,55 @@ def p5_survivors(spark: SparkSession, d: str) -> DataFrame:
     return survivors.survivors(table(spark, d, "generacion_real"), GEN_KEYS, fields, "version", "ingestion_timestamp", "registro_id")
 
 
-QUERIES: dict[str, Query] = {"p5_found": p5_found, "p5_survivors": p5_survivors}
+TYPED = [("nombre_reservorio", "embalses", "codigo_embalse", "nombre_embalse"), ("nombre_planta", "plantas", "codigo_planta", "nombre_planta")]
+
+
+def p7_values(spark: SparkSession, d: str) -> DataFrame:
+    typed = table(spark, d, "plantas_reservorios")
+    out = None
+    for column, ref, code, name in TYPED:
+        one = canonical.map_values(typed, "relacion_id", column, table(spark, d, ref), code, name).withColumn("campo", F.lit(column))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return p7_values(spark, d).select("relacion_id", "campo", "codigo")
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p8_scrubbed(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.scrub(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0].drop("p", "cap")
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.shares(*mixing.mixture(table(spark, d, "documents"), table(spark, d, "mix_targets")))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return stuffing.pages(table(spark, d, "documents")).where("relleno").select("doc_id")
+
+
+def p10_pages(spark: SparkSession, d: str) -> DataFrame:
+    return stuffing.pages(table(spark, d, "documents"))
+
+
+QUERIES: dict[str, Query] = {
+    "p5_found": p5_found, "p5_survivors": p5_survivors, "p7_found": p7_found, "p7_values": p7_values, "p8_found": p8_found, "p8_scrubbed": p8_scrubbed,
+    "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_pages": p10_pages,
+}
+
+
+def _words(c: str) -> str:
+    return f"regexp_extract_all(lower(strip_accents({c})), '[\\p{{L}}\\p{{N}}]+')"
+
 
 ORACLES: dict[str, str] = {
     "p5_found": """
@@ -34,4 +82,10 @@ ORACLES: dict[str, str] = {
     k AS (SELECT *, CASE WHEN ver = 'TXF' THEN 4e15 WHEN ver = 'TXR' THEN 3e15 WHEN regexp_full_match(ver, 'TX[0-9]{1,15}') THEN substr(ver, 3)::BIGINT ELSE -1 END AS p FROM r)
     SELECT min(registro_id) AS grupo_id, first(registro_id ORDER BY (valor IS NOT NULL) DESC, p DESC, ingestion_timestamp DESC NULLS LAST, registro_id DESC) AS registro_id
     FROM k GROUP BY g HAVING count(*) >= 2""",
+    "p8_found": f"""
+    WITH i AS (SELECT item_id, w, len(w) AS n FROM (SELECT item_id, {_words("text")} AS w FROM eval_items)),
+    ig AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 11], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, n - 10)) AS k FROM i WHERE n >= 12)),
+    d AS (SELECT doc_id, w, len(w) AS n FROM (SELECT doc_id, {_words("text")} AS w FROM documents)),
+    dg AS (SELECT doc_id, array_to_string(w[k:k + 11], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, n - 10)) AS k FROM d WHERE n >= 12))
+    SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g)""",
 }
