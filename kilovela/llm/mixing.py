@@ -144,11 +144,18 @@ def rate(steps: list[list[float]]) -> Column:
     return r
 
 
-def fit_rates(w: DataFrame, goals: list[tuple[str, float, int]], total: float | None = None, rounds: int = 25, tol: float = 1e-4) -> tuple[list[list[float]], float]:
+def copies(steps: list[list[float]]) -> Column:
+    """Whole copies: the rate plus a hash in [0, 1), rounded down, so totals are right on average and caps hold."""
+    u = F.pmod(F.xxhash64(F.lit("mezcla"), "doc_id"), F.lit(1 << 30)).cast("double") / (1 << 30)
+    return F.least(F.floor(rate(steps) + u).cast("int"), F.col("cap"))
+
+
+def fit_rates(w: DataFrame, goals: list[tuple[str, float, int]], total: float | None = None, rounds: int = 25, tol: float = 1e-4, polish: int = 6) -> tuple[list[list[float]], float]:
     """Step vectors of the projected gradient, and the size of the mixture in tokens.
 
     Without ``total`` the mixture is as large as all targets allow together. Steps are scaled by each source's tokens (a
-    diagonal preconditioner), so a source that binds nothing converges in a few steps.
+    diagonal preconditioner), so a source that binds nothing converges in a few steps. The last ``polish`` steps take the
+    totals of the whole copies instead of those of the rates, which removes what rounding has left.
     """
     k = len(goals)
     mass = [F.sum(F.col("tokens") * F.col("p")[i]).alias(f"m{i}") for i in range(k)]
@@ -162,11 +169,19 @@ def fit_rates(w: DataFrame, goals: list[tuple[str, float, int]], total: float |
     q = q / q.sum()
     size = total or float(min(c[i] / q[i] for i in range(k) if q[i] > 0))
     steps: list[list[float]] = [(-(q * size) / np.maximum(m, 1.0)).tolist()]
-    for _ in range(rounds):
-        got = w.agg(*[F.sum(rate(steps) * F.col("tokens") * F.col("p")[i]).alias(f"g{i}") for i in range(k)]).first()
-        miss = np.array([got[f"g{i}"] or 0.0 for i in range(k)]) - q * size
+    exact = True
+    for _ in range(rounds + polish):
+        use = rate(steps) if exact else copies(steps)
+        got = w.agg(*[F.sum(use * F.col("tokens") * F.col("p")[i]).alias(f"g{i}") for i in range(k)]).first()
+        g = np.array([got[f"g{i}"] or 0.0 for i in range(k)])
+        miss = g - q * (size if exact else g.sum())
         if np.abs(miss).max() <= tol * size:
-            break
+            if not exact:
+                break
+            exact = False
+            continue
+        if len(steps) > rounds:
+            exact = False
         steps.append((miss / np.maximum(m, 1.0)).tolist())
     return steps, size
 
@@ -175,12 +190,9 @@ def mixture(docs: DataFrame, targets: DataFrame, total: float | None = None, **k
     """(doc_id, source, asignada, tokens, tasa, copias) of every document with tokens, and the targets."""
     w, goals = weighed(docs, targets, **kw)
     steps, _ = fit_rates(w, goals, total)
-    u = F.pmod(F.xxhash64(F.lit("mezcla"), "doc_id"), F.lit(1 << 30)).cast("double") / (1 << 30)
     names = F.array(*[F.lit(g[0]) for g in goals])
     first = F.when(F.array_max("p") > 0, F.element_at(names, F.array_position("p", F.array_max("p")).cast("int")))
-    r = rate(steps)
-    copies = F.least(F.floor(r + u).cast("int"), F.col("cap"))
-    return w.select("doc_id", "source", first.alias("asignada"), "tokens", r.alias("tasa"), copies.alias("copias"), "cap", "p"), goals
+    return w.select("doc_id", "source", first.alias("asignada"), "tokens", rate(steps).alias("tasa"), copies(steps).alias("copias"), "cap", "p"), goals
 
 
 def shares(mix: DataFrame, goals: list[tuple[str, float, int]]) -> DataFrame:
