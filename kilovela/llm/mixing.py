@@ -150,7 +150,7 @@ def copies(steps: list[list[float]]) -> Column:
     return F.least(F.floor(rate(steps) + u).cast("int"), F.col("cap"))
 
 
-def fit_rates(w: DataFrame, goals: list[tuple[str, float, int]], total: float | None = None, rounds: int = 25, tol: float = 1e-4, polish: int = 6) -> tuple[list[list[float]], float]:
+def fit_rates(w: DataFrame, goals: list[tuple[str, float, int]], total: float | None = None, rounds: int = 25, tol: float = 1e-4, polish: int = 4) -> tuple[list[list[float]], float]:
     """Step vectors of the projected gradient, and the size of the mixture in tokens.
 
     Without ``total`` the mixture is as large as all targets allow together. Steps are scaled by each source's tokens (a
@@ -169,19 +169,16 @@ def fit_rates(w: DataFrame, goals: list[tuple[str, float, int]], total: float |
     q = q / q.sum()
     size = total or float(min(c[i] / q[i] for i in range(k) if q[i] > 0))
     steps: list[list[float]] = [(-(q * size) / np.maximum(m, 1.0)).tolist()]
-    exact = True
-    for _ in range(rounds + polish):
-        use = rate(steps) if exact else copies(steps)
-        got = w.agg(*[F.sum(use * F.col("tokens") * F.col("p")[i]).alias(f"g{i}") for i in range(k)]).first()
+    for k_round in range(rounds + polish):
+        exact = k_round < rounds
+        got = w.withColumn("_use", rate(steps) if exact else copies(steps)).agg(*[F.sum(F.col("_use") * F.col("tokens") * F.col("p")[i]).alias(f"g{i}") for i in range(k)]).first()
         g = np.array([got[f"g{i}"] or 0.0 for i in range(k)])
         miss = g - q * (size if exact else g.sum())
-        if np.abs(miss).max() <= tol * size:
-            if not exact:
-                break
-            exact = False
+        if exact and np.abs(miss).max() <= tol * size:
+            rounds = k_round + 1  # settled: the rest is polish
             continue
-        if len(steps) > rounds:
-            exact = False
+        if not exact and (k_round >= rounds + polish or np.abs(miss).max() <= 10 * tol * size):
+            break
         steps.append((miss / np.maximum(m, 1.0)).tolist())
     return steps, size
 
