@@ -24,6 +24,7 @@ class FactSpec:
     domain: dict[str, str] = field(default_factory=dict)
     version: str = "version"
     recency: tuple[str, ...] = ("silver_updated_at", "ingestion_timestamp", "load_date")
+    tie: tuple[str, ...] = ()
 
 
 def in_domain(df: DataFrame, spec: FactSpec) -> DataFrame:
@@ -37,7 +38,7 @@ def canonical_rows(df: DataFrame, spec: FactSpec, policy: dict[str, int] = POLIC
     d = in_domain(df, spec)
     text = [c for c, t in d.select(*spec.key).dtypes if t == "string"]
     d = d.withColumns({c: code(c) for c in [*text, spec.version]})
-    return canonical(d, [*spec.key, spec.when] if spec.when not in spec.key else list(spec.key), spec.version, list(spec.recency), policy)
+    return canonical(d, [*spec.key, spec.when] if spec.when not in spec.key else list(spec.key), spec.version, list(spec.recency), policy, spec.tie)
 
 
 def build(df: DataFrame, spec: FactSpec, plants: DataFrame | None = None, agents: DataFrame | None = None) -> DataFrame:

@@ -46,13 +46,14 @@ def newest_first(*cols: str) -> list[Column]:
     return [F.desc_nulls_last(c) for c in cols]
 
 
-def canonical(df: DataFrame, keys: list[str], version: str, recency: list[str], policy: dict[str, int] = POLICY) -> DataFrame:
-    """Row of highest version priority per key, then most recent by ``recency``, then highest version text.
+def canonical(df: DataFrame, keys: list[str], version: str, recency: list[str], policy: dict[str, int] = POLICY, tie: tuple[str, ...] = ()) -> DataFrame:
+    """Row of highest version priority per key, then most recent by ``recency``, then highest version text,
+    then largest ``tie``.
 
     Rows are kept whole; ``prioridad_version`` is added. NULL recency sorts last; keys with NULL form groups of their own.
     """
     d = df.withColumn("prioridad_version", priority(version, policy))
-    return latest(d, keys, [F.desc("prioridad_version"), *newest_first(*recency), F.desc_nulls_last(version)])
+    return latest(d, keys, [F.desc("prioridad_version"), *newest_first(*recency), F.desc_nulls_last(version), *newest_first(*tie)])
 
 
 def new_rows(incoming: DataFrame, existing: DataFrame, cols: list[str]) -> DataFrame:
