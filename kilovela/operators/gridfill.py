@@ -12,6 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kilovela.session import stage
 
@@ -42,7 +43,7 @@ def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
     return c
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _solve(sums: pd.Series) -> pd.Series:
     """Ridge solutions of rows [upper triangle of sum(f f'), sum(f z), ridge]."""
     r, out = RANK, []
