@@ -60,26 +60,29 @@ def _solve(sums: pd.Series) -> pd.Series:
     return pd.Series(list(out))
 
 
-def _half_step(cells: DataFrame, factor: DataFrame, side: str, other: str, ridge: float) -> DataFrame:
-    """New factors of ``side`` given those of ``other`` (column ``f``)."""
+def _half_step(cells: DataFrame, factor: DataFrame, side: str, other: str, ridge: float, prior: Column | None = None) -> DataFrame:
+    """New factors of ``side`` given those of ``other`` (column ``f``), drawn towards ``prior`` (else 0) by the ridge."""
     x = cells.join(factor, other)
     f = [F.col("f")[i] for i in range(RANK)]
     sums = [F.sum(f[i] * f[j]) for i in range(RANK) for j in range(i, RANK)] + [F.sum(f[i] * F.col("z")) for i in range(RANK)]
     g = x.groupBy(side).agg(*[s.alias(f"_{k}") for k, s in enumerate(sums)], F.count("*").alias("apoyo"))
-    packed = F.array(*[F.col(f"_{k}") for k in range(len(sums))], F.lit(ridge))
+    n = len(sums) - RANK
+    pull = [F.col(f"_{n + i}") + (prior[i] * ridge if prior is not None else F.lit(0.0)) for i in range(RANK)]
+    packed = F.array(*[F.col(f"_{k}") for k in range(n)], *pull, F.lit(ridge))
     return g.select(side, _solve(packed).alias("f"), "apoyo")
 
 
 def _start(h: Column) -> Column:
-    """First hour factors: level, daily harmonics and a hash, so that no two columns are alike."""
+    """First hour factors and what hour factors are drawn towards: level and daily harmonics."""
     a = h * F.lit(2 * np.pi / 24)
-    return F.array(F.lit(1.0), F.cos(a), F.sin(a), F.pmod(F.xxhash64(h), F.lit(2001)).cast("double") / 1000 - 1)
+    return F.array(F.lit(1.0), F.cos(a), F.sin(a), F.cos(a * 2))
 
 
-def fill(df: DataFrame, keys: list[str], when: str, value: str, row_key: str, rounds: int = 4, ridge: float = 0.5, least: int = 8) -> DataFrame:
+def fill(df: DataFrame, keys: list[str], when: str, value: str, row_key: str, rounds: int = 4, ridge: float = 0.5, daily: float = 20.0, least: int = 8) -> DataFrame:
     """(keys, h, valor, estado) for every hour between a series' first and last observed hour.
 
-    Values are factorised as standardised deviations from the source's mean. A source needs ``least`` observed hours, an
+    Values are factorised as standardised deviations from the source's mean; hour factors are drawn towards the daily
+    pattern by the weight ``daily``, so an hour with few readings falls back on it. A source needs ``least`` observed hours, an
     hour one observed cell of such a source. An empty table gives an empty grid. Series are numbered by a 64-bit hash of
     their keys together with the keys, so equal hashes of different keys share a factor but never a cell.
     """
@@ -90,7 +93,7 @@ def fill(df: DataFrame, keys: list[str], when: str, value: str, row_key: str, ro
     hours = cells.select("h").distinct().select("h", _start(F.col("h")).alias("f"), F.lit(0).cast("long").alias("apoyo"))
     for _ in range(rounds):
         sources = stage(_half_step(cells, hours, "s", "h", ridge), "src")
-        hours = stage(_half_step(cells, sources, "h", "s", ridge), "hrs")
+        hours = stage(_half_step(cells, sources, "h", "s", daily, _start(F.col("h"))), "hrs")
     all_cells = grid(obs, keys).withColumn("s", F.xxhash64(*keys))
     y = all_cells.join(obs.select(*keys, "h", "y"), _same(all_cells, obs, keys), "left").select(*[all_cells[k] for k in keys], all_cells["h"], all_cells["s"], "y")
     u = sources.select("s", F.col("f").alias("_u")).join(stats.select("s", "m", "d"), "s")
