@@ -61,11 +61,11 @@ def _features(text: str) -> np.ndarray:
 class Classifier:
     """Naive Bayes over hashed words; the evidence is tempered so that posteriors are calibrated, not extreme."""
 
-    def __init__(self, sources: list[str], texts: list[str], labels: list[str]):
+    def __init__(self, sources: list[str], texts: list[str], labels: list[str], smooth: float = 10.0):
         self.sources = sources
         at = {s: i for i, s in enumerate(sources)}
-        n = np.ones((len(sources), BUCKETS)) * 0.5
-        prior = np.ones(len(sources))
+        n = np.zeros((len(sources), BUCKETS))
+        docs = np.zeros(len(sources))
         held: list[tuple[np.ndarray, int]] = []
         for k, (t, s) in enumerate(zip(texts, labels, strict=True)):
             f = _features(t)
@@ -73,9 +73,13 @@ class Classifier:
                 held.append((f, at[s]))
             else:
                 n[at[s], f] += 1
-                prior[at[s]] += 1
-        self.prior = np.log(prior / prior.sum())
-        self.like = np.log(n / (prior[:, None] + 1))
+                docs[at[s]] += 1
+        # shares are smoothed towards those of all documents, so rare words do not favour small sources; a source without
+        # documents has no posterior
+        back = (n.sum(0) + 0.5) / (docs.sum() + 1)
+        self.like = np.log((n + smooth * back) / (docs[:, None] + smooth))
+        with np.errstate(divide="ignore"):
+            self.prior = np.log(docs / docs.sum()) if docs.sum() else np.full(len(sources), -np.log(len(sources)))
         self.heat = 0.0
         best = np.inf
         for heat in (0.0, 0.02, 0.05, 0.1, 0.2, 0.4, 0.7, 1.0):
