@@ -84,7 +84,8 @@ def features(text: str | None) -> tuple[list[int], list[int], list[int]]:
         n = len(ws)
         if not n:
             continue
-        links = [m.group() for m in LINK.finditer(raw)]
+        low = raw.lower()
+        links = [m.group() for m in LINK.finditer(raw)] if "://" in low or "www." in low or "](" in low or "<a" in low else []
         in_links = sum(len(WORD.findall(x)) for x in links)
         rest = LINK.sub(" , ", raw) if links else raw
         tags = TAG.findall(rest)
@@ -164,6 +165,42 @@ class Model:
             out[t - 1] = back[t, out[t]]
         return out
 
+    def decode_all(self, pages: list[tuple[np.ndarray, np.ndarray]], cells: int = 50_000) -> list[np.ndarray]:
+        """States of many pages (symbols, words), each with a line at least: pages of like length go through the recursion
+        together, in groups of about ``cells`` lines."""
+        out: list[np.ndarray] = [np.empty(0, dtype=np.int64)] * len(pages)
+        order = sorted(range(len(pages)), key=lambda i: len(pages[i][0]))
+        at = 0
+        while at < len(order):
+            stop = at + 1
+            while stop < len(order) and len(pages[order[stop]][0]) * (stop + 1 - at) <= cells:
+                stop += 1
+            self._group([pages[i] for i in order[at:stop]], order[at:stop], out)
+            at = stop
+        return out
+
+    def _group(self, pages: list[tuple[np.ndarray, np.ndarray]], index: list[int], out: list[np.ndarray]) -> None:
+        sizes = np.array([len(p[0]) for p in pages])
+        longest, k = int(sizes.max()), len(STATES)
+        flat = self.scores(np.concatenate([p[0] for p in pages]), np.concatenate([p[1] for p in pages]))
+        inside = np.arange(longest) < sizes[:, None]
+        b = np.zeros((len(pages), longest, k))
+        b[inside] = flat
+        back = np.tile(np.arange(k), (longest, len(pages), 1))
+        v = self.start + b[:, 0]
+        for t in range(1, longest):
+            paths = v[:, :, None] + self.move
+            on = inside[:, t, None]
+            back[t] = np.where(on, paths.argmax(1), back[t])
+            v = np.where(on, paths.max(1) + b[:, t], v)
+        z = np.empty((len(pages), longest), dtype=np.int64)
+        z[:, -1] = v.argmax(1)
+        rows = np.arange(len(pages))
+        for t in range(longest - 1, 0, -1):
+            z[:, t - 1] = back[t, rows, z[:, t]]
+        for i, j, n in zip(index, range(len(pages)), sizes, strict=True):
+            out[i] = z[j, :n]
+
     def updated(self, counts: dict[tuple[int, int, int], int], keep: float) -> Model:
         """Estimates from (feature or -1 for moves, -2 for starts; state; value) counts, mixed with a ``keep`` share of the
         hand-set start."""
@@ -200,17 +237,21 @@ def train(feats: DataFrame, rounds: int = 2, keep: float = 0.5) -> Model:
     for _ in range(rounds):
 
         def count(batches: Iterator[pd.DataFrame], model: Model = model) -> Iterator[pd.DataFrame]:
-            c: Counter = Counter()
+            k, c = len(STATES), Counter()
             for b in batches:
-                for s, n in zip(b["s"], b["n"], strict=True):
-                    if s is None or not len(s):
-                        continue
-                    s = np.asarray(s, dtype=np.int64)
-                    z = model.decode(s, np.asarray(n))
-                    c[(-2, 0, int(z[0]))] += 1
-                    c.update((-1, int(a), int(b2)) for a, b2 in zip(z, z[1:], strict=False))
-                    for j, col in enumerate(unpack(s).T):
-                        c.update((j, int(a), int(v)) for a, v in zip(z, col, strict=True))
+                pages = [(np.asarray(s, dtype=np.int64), np.asarray(n)) for s, n in zip(b["s"], b["n"], strict=True) if s is not None and len(s)]
+                if not pages:
+                    continue
+                states = model.decode_all(pages)
+                z, f = np.concatenate(states), unpack(np.concatenate([p[0] for p in pages]))
+                first = np.zeros(len(z), dtype=bool)
+                first[np.cumsum([0, *[len(x) for x in states[:-1]]])] = True
+                for v, n in enumerate(np.bincount(z[first], minlength=k)):
+                    c[-2, 0, v] += int(n)
+                moves = np.bincount(z[:-1][~first[1:]] * k + z[1:][~first[1:]], minlength=k * k)
+                c.update({(-1, i // k, i % k): int(n) for i, n in enumerate(moves)})
+                for j, size in enumerate(SIZES):
+                    c.update({(j, i // size, i % size): int(n) for i, n in enumerate(np.bincount(z * size + f[:, j], minlength=k * size))})
             yield pd.DataFrame([(*key, v) for key, v in c.items()], columns=["j", "a", "v", "c"])
 
         rows = feats.select("s", "n").mapInPandas(count, "j int, a int, v int, c long").groupBy("j", "a", "v").agg(F.sum("c").alias("c")).collect()
@@ -224,13 +265,14 @@ def labelled(feats: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            full = [i for i, s in enumerate(b["s"]) if s is not None and len(s)]
+            states = dict(zip(full, model.decode_all([(np.asarray(b["s"].iloc[i], dtype=np.int64), np.asarray(b["n"].iloc[i])) for i in full]), strict=True))
             rows = []
-            for d, s, n, k in zip(b["doc_id"].tolist(), b["s"], b["n"], b["k"], strict=True):
-                if s is None or not len(s):
+            for i, (d, n, k) in enumerate(zip(b["doc_id"].tolist(), b["n"], b["k"], strict=True)):
+                if i not in states:
                     rows.append((d, 0, 0, 0, *[0] * len(STATES)))
                     continue
-                n = np.asarray(n)
-                z = model.decode(np.asarray(s, dtype=np.int64), n)
+                z, n = states[i], np.asarray(n)
                 on = LISTED[z]
                 rows.append((d, int(n.sum()), int(n[on].sum()), int(np.asarray(k)[on].sum()), *np.bincount(z, minlength=len(STATES)).tolist()))
             yield pd.DataFrame(rows, columns=["doc_id", "palabras", "listadas", "elementos", *names])
