@@ -128,7 +128,7 @@ def latest_snapshot(spark: SparkSession, d: str) -> DataFrame:
     return joins.with_scalars(a, a.agg(F.max("fecha").alias("_m"))).where("fecha = _m").select("registro_id", "codigo_agente")
 
 
-@query("SELECT count(*) AS filas, min(registro_id) AS primero FROM generacion_real WHERE ingestion_timestamp >= (SELECT max(ingestion_timestamp) FROM generacion_real WHERE load_date < DATE '2026-06-10')")
+@query("SELECT count(*) AS filas, min(registro_id) AS primero FROM generacion_real, (SELECT max(ingestion_timestamp) AS m FROM generacion_real WHERE load_date < DATE '2026-06-10') WHERE m IS NULL OR ingestion_timestamp >= m")
 def high_water_filter(spark: SparkSession, d: str) -> DataFrame:
     g = table(spark, d, "generacion_real").select("registro_id", "ingestion_timestamp", "load_date")
     return L.since_high_water(g, g.where("load_date < date'2026-06-10'"), "ingestion_timestamp").agg(F.count("*").alias("filas"), F.min("registro_id").alias("primero"))
