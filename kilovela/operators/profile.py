@@ -118,18 +118,6 @@ def distincts(df: DataFrame, load: str, specs: list[ColumnSpec], table: str) ->
     return one.groupBy("carga", "columna").agg(F.count("*").alias("distintos")).select(F.lit(table).alias("tabla"), "columna", "carga", "distintos")
 
 
-def medians(df: DataFrame, load: str, specs: list[ColumnSpec], table: str) -> DataFrame:
-    """Exact median per (table, column, load) of numeric columns."""
-    num = [s for s in specs if s.kind == "number"]
-    out = None
-    for s in num:
-        base = df.select(F.col(load).cast("string").alias("carga"), F.col(s.name).cast("double").alias("_v")).where(F.col("carga").isNotNull())
-        sk = stage(quantiles.sketch(base, ["carga"], "_v"), "sk")
-        med = quantiles.exact_medians(base, sk, ["carga"], "_v", broadcast=fits_broadcast(sk, 400_000)).select(F.lit(table).alias("tabla"), F.lit(s.name).alias("columna"), "carga", "mediana")
-        out = med if out is None else out.unionByName(med)
-    return out
-
-
 def profile(df: DataFrame, table: str, load: str, specs: list[ColumnSpec]) -> DataFrame:
     """The whole profile of the named columns, one row per (table, column, load)."""
     m = shifts(moments(df, load, specs, table))
@@ -140,20 +128,35 @@ def profile(df: DataFrame, table: str, load: str, specs: list[ColumnSpec]) -> Da
     return p.withColumn("parte_nulos", share("nulos", "filas")).withColumn("parte_fuera", share("fuera", "validos"))
 
 
-def findings(df: DataFrame, table: str, load: str, specs: list[ColumnSpec], min_rows: int = 20, null_share: float = 0.2, broken_share: float = 0.05, ratio: float = 3.0) -> DataFrame:
-    """(tabla, columna, carga, hallazgo) of loads of ``min_rows`` rows or more.
+Watched = tuple[DataFrame, str, str, list[ColumnSpec]]
+PAIR = ["tabla", "columna", "carga"]
+
+
+def _long(df: DataFrame, table: str, load: str, specs: list[ColumnSpec]) -> DataFrame:
+    """(tabla, columna, carga, v, x, fuera): the named numeric columns below one another; x is what the exact sums take."""
+    item = lambda s: F.struct(F.lit(s.name).alias("columna"), F.col(s.name).cast("double").alias("v"), _exact(s, F.col(s.name)).cast("decimal(18,6)").alias("x"), F.coalesce(_broken(s, F.col(s.name)), F.lit(False)).alias("fuera"))
+    return df.where(F.col(load).isNotNull()).select(F.lit(table).alias("tabla"), F.col(load).cast("string").alias("carga"), F.explode(F.array(*[item(s) for s in specs])).alias("p")).select("tabla", "p.columna", "carga", "p.v", "p.x", "p.fuera")
+
+
+def findings(watched: list[Watched], min_rows: int = 20, null_share: float = 0.2, broken_share: float = 0.05, ratio: float = 3.0) -> DataFrame:
+    """(tabla, columna, carga, hallazgo) of the loads of ``min_rows`` rows or more of all watched (frame, table, load column,
+    numeric specs), which share every pass.
 
     ``nulos``: more than ``null_share`` of the rows null. ``rango``: more than ``broken_share`` of the non-null values
     outside the domain. ``distribucion``: the load's median is over ``ratio`` times, or under 1/``ratio`` of, the median
     of all such loads' medians, tested where the moment interval mean +- deviation reaches beyond those limits.
     """
-    mom = stage(shifts(moments(df.where(F.col(load).isNotNull()), load, specs, table)).where(F.col("filas") >= min_rows), "mom")
-    nulls = mom.where(F.col("nulos_exactos") > F.col("filas") * null_share).select("tabla", "columna", "carga", F.lit("nulos").alias("hallazgo"))
-    broken = mom.where(F.col("fuera") > (F.col("filas") - F.col("nulos_exactos")) * broken_share).select("tabla", "columna", "carga", F.lit("rango").alias("hallazgo"))
-    med = medians(df, load, specs, table).join(mom.select("tabla", "columna", "carga", "media", "desviacion", "n_sin_suma"), ["tabla", "columna", "carga"])
+    long = reduce(DataFrame.unionByName, [_long(*w) for w in watched])
+    m = long.groupBy(*PAIR).agg(F.count("*").alias("filas"), F.count("v").alias("llenas"), F.count_if("fuera").alias("fuera"), F.count_if(~F.isnan("v")).alias("validos"), F.count("x").alias("n"), F.sum("x").cast("decimal(38,6)").alias("suma"), F.sum(F.col("x") * F.col("x")).cast("decimal(38,12)").alias("suma2"))
+    mom = stage(shifts(m).where(F.col("filas") >= min_rows), "mom")
+    named = lambda df, h: df.select(*PAIR, F.lit(h).alias("hallazgo"))
+    nulls = named(mom.where(F.col("filas") - F.col("llenas") > F.col("filas") * null_share), "nulos")
+    broken = named(mom.where(F.col("fuera") > F.col("llenas") * broken_share), "rango")
+    sk = stage(quantiles.sketch(long, PAIR, "v"), "sk")
+    med = quantiles.exact_medians(long, sk, PAIR, "v", broadcast=fits_broadcast(sk, 400_000)).join(mom.select(*PAIR, "media", "desviacion", "n", "validos"), PAIR)
     mid = med.groupBy("tabla", "columna").agg(F.percentile("mediana", F.lit(0.5)).alias("_m"))
     f = med.join(F.broadcast(mid), ["tabla", "columna"])  # one row per column
     up, down, slack = F.col("_m") * ratio, F.col("_m") / ratio, F.col("desviacion") * 1e-9 + F.abs("media") * 1e-6 + 1e-6
-    open_ = F.col("media").isNull() | (F.col("n_sin_suma") > 0) | (F.col("media") + F.col("desviacion") + slack > up) | (F.col("media") - F.col("desviacion") - slack < down)
-    moved = f.where(open_ & ((F.col("mediana") > up) | (F.col("mediana") < down))).select("tabla", "columna", "carga", F.lit("distribucion").alias("hallazgo"))
+    open_ = F.col("media").isNull() | (F.col("n") < F.col("validos")) | (F.col("media") + F.col("desviacion") + slack > up) | (F.col("media") - F.col("desviacion") - slack < down)
+    moved = named(f.where(open_ & ((F.col("mediana") > up) | (F.col("mediana") < down))), "distribucion")
     return nulls.unionByName(broken).unionByName(moved)

@@ -32,7 +32,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return _union([findings(table(spark, d, t), t, load, specs) for t, (load, specs) in WATCHED.items()])
+    return findings([(table(spark, d, t), t, load, specs) for t, (load, specs) in WATCHED.items()])
 
 
 def p1_profile(spark: SparkSession, d: str) -> DataFrame:
@@ -57,12 +57,16 @@ def p2_asof(spark: SparkSession, d: str) -> DataFrame:
 MEASURES = [("generacion_real", "codigo_planta", "fecha_hora", False), ("niveles_embalses", "codigo_planta", "fecha_inicio", True), ("precio_bolsa", "codigo_variable", "fecha_hora", True)]
 
 
+def _measures(spark: SparkSession, d: str) -> list[tuple[DataFrame, anomalies.Measure]]:
+    return [(table(spark, d, t), anomalies.Measure(t, "registro_id", src, when, "valor", low)) for t, src, when, low in MEASURES]
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return _union([anomalies.implausible(table(spark, d, t), t, "registro_id", src, when, "valor", low) for t, src, when, low in MEASURES]).select("tabla", "registro_id")
+    return anomalies.implausible(_measures(spark, d)).select("tabla", "registro_id")
 
 
 def p3_context(spark: SparkSession, d: str) -> DataFrame:
-    return _union([anomalies.contextual(table(spark, d, t), t, "registro_id", src, when, "valor") for t, src, when, _ in MEASURES])
+    return anomalies.contextual(_measures(spark, d))
 
 
 def _grid(spark: SparkSession, d: str) -> DataFrame:

@@ -37,20 +37,20 @@ def loads(values, name):
 
 def test_findings(frame):
     rows = loads([10.0] * 20, "a") + loads([11.0] * 15 + [None] * 6, "b") + loads([9.0] * 18 + [-1.0] * 2, "c") + loads([100.0] * 20, "d") + loads([1000.0] * 19, "short") + loads([10.0] * 30, None)
-    got = frame.rows(findings(frame(LOADS, rows), "t", "source_file_name", SPEC))
+    got = frame.rows(findings([(frame(LOADS, rows), "t", "source_file_name", SPEC)]))
     assert got == [("t", "valor", "b", "nulos"), ("t", "valor", "c", "rango"), ("t", "valor", "d", "distribucion")]
 
 
 def test_findings_nan_is_out_of_range_and_limits_are_strict(frame):
     at_limit = loads([10.0] * 16 + [None] * 4, "a") + loads([10.0] * 19 + [-1.0], "b")
     rows = at_limit + loads([10.0] * 17 + [float("nan")] * 3, "c") + loads([30.0] * 20, "d") + loads([1e15] * 9 + [10.0] * 11, "e")
-    assert frame.rows(findings(frame(LOADS, rows), "t", "source_file_name", SPEC)) == [("t", "valor", "c", "rango")]
+    assert frame.rows(findings([(frame(LOADS, rows), "t", "source_file_name", SPEC)])) == [("t", "valor", "c", "rango")]
 
 
 def test_findings_and_profile_of_empty_and_all_null(frame):
-    assert frame.rows(findings(frame(LOADS), "t", "source_file_name", SPEC)) == []
+    assert frame.rows(findings([(frame(LOADS), "t", "source_file_name", SPEC)])) == []
     assert profile(frame(LOADS), "t", "source_file_name", SPEC).count() == 0
-    assert frame.rows(findings(frame(LOADS, loads([None] * 20, "a")), "t", "source_file_name", SPEC)) == [("t", "valor", "a", "nulos")]
+    assert frame.rows(findings([(frame(LOADS, loads([None] * 20, "a")), "t", "source_file_name", SPEC)])) == [("t", "valor", "a", "nulos")]
 
 
 def test_profile_counts(frame):
@@ -118,6 +118,10 @@ def test_agent_at_event(frame):
 READ = "registro_id long, codigo_planta string, fecha_hora timestamp, valor double, src string, t long"
 
 
+def measure(low_too):
+    return anomalies.Measure("t", "registro_id", "codigo_planta", "fecha_hora", "valor", low_too)
+
+
 def at(h):
     return datetime(2026, 1, 1) + timedelta(hours=h)
 
@@ -166,20 +170,20 @@ def test_implausible_matches_brute_force(frame, low_too):
                 rows.append((i, rnd.choice([s, f" {s.upper()} "]), at(h), v if rnd.random() > 0.03 else rnd.choice([None, 11.0])))
     rows += [(9001, None, at(1), -4.0), (9002, "a", None, 500.0), (9003, "a", at(2), None)]
     df = frame(READ, [(*r, "x", 1) for r in rows])
-    got = sorted(r["registro_id"] for r in anomalies.implausible(df, "t", "registro_id", "codigo_planta", "fecha_hora", "valor", low_too).collect())
+    got = sorted(r["registro_id"] for r in anomalies.implausible([(df, measure(low_too))]).collect())
     assert got == brute_implausible(rows, low_too)
 
 
 def test_stuck_run_crosses_blocks(frame):
     rows = [(k, "a", at(24 * 30 * k), 3.0, "x", 1) for k in range(6)] + [(10 + k, "b", at(24 * 30 * k), 3.0, "x", 1) for k in range(5)]
-    got = anomalies.implausible(frame(READ, rows), "t", "registro_id", "codigo_planta", "fecha_hora", "valor", False)
+    got = anomalies.implausible([(frame(READ, rows), measure(False))])
     assert sorted(r["registro_id"] for r in got.collect()) == list(range(6))
-    assert anomalies.implausible(frame(READ), "t", "registro_id", "codigo_planta", "fecha_hora", "valor", True).count() == 0
+    assert anomalies.implausible([(frame(READ), measure(True))]).count() == 0
 
 
 def test_contextual_marks_a_jump(frame):
     rows = [(k, "a", at(24 * k), 10.0 + k % 3, "x", 1) for k in range(40)] + [(99, "a", at(24 * 40), 500.0, "x", 1)]
-    got = {r["registro_id"]: r for r in anomalies.contextual(frame(READ, rows), "t", "registro_id", "codigo_planta", "fecha_hora", "valor").collect()}
+    got = {r["registro_id"]: r for r in anomalies.contextual([(frame(READ, rows), measure(False))]).collect()}
     assert got[99]["fuera_de_valla"] and 5 not in got
 
 
