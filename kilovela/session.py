@@ -7,8 +7,11 @@ a re-read and not the query.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,5 +79,22 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "left
     return big.join(small, [*on, "_salt"], how).drop("_salt")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per context, unless they find it by PYTHONPATH or working directory."""
+    sc, root = spark.sparkContext, Path(__file__).resolve().parent.parent
+    reach = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if getattr(sc, "_kilovela_shipped", False) or str(root) in {str(Path(p).resolve()) for p in reach if p}:
+        return
+    folder = shared_dir(spark).removeprefix("file://").removeprefix("file:")
+    folder = folder if os.path.isdir(folder) else tempfile.mkdtemp(prefix="kilovela_")
+    path = f"{folder}/kilovela_{uuid.uuid4().hex}.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted((root / "kilovela").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    sc.addPyFile(path)
+    sc._kilovela_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
