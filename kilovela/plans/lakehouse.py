@@ -818,6 +818,12 @@ def missing_days(spark: SparkSession, d: str) -> DataFrame:
     return X.missing_days(table(spark, d, "orders").where("o_custkey % 9 = 1"), "o_orderdate")
 
 
+@query("SELECT f AS fecha FROM (SELECT CAST(unnest(generate_series(min(o_orderdate)::DATE::TIMESTAMP, max(o_orderdate)::DATE::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS f FROM orders) WHERE f NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderdate IS NOT NULL)")
+def missing_days_all(spark: SparkSession, d: str) -> DataFrame:
+    """Over all orders; ``missing_days`` is bound to the subset of customers in its SQL."""
+    return X.missing_days(table(spark, d, "orders"), "o_orderdate")
+
+
 @query("SELECT count(*) AS dias, count(*) FILTER (WHERE n < 24) AS incompletos, min(n) AS minimo FROM (SELECT upper(trim(codigo_planta)) AS p, CAST(fecha_hora AS DATE) AS f, count(DISTINCT hour(fecha_hora)) AS n FROM generacion_real GROUP BY 1, 2)")
 def hour_continuity(spark: SparkSession, d: str) -> DataFrame:
     return X.continuity(table(spark, d, "generacion_real").select(N.code("codigo_planta").alias("p"), "fecha_hora"), ["p"], "fecha_hora")
@@ -871,6 +877,14 @@ def json_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return L.read_json(spark, path, "event_id long, event_type string, value double")
 
 
+@query("SELECT event_id, event_type, value FROM events")
+def json_round_trip_all(spark: SparkSession, d: str) -> DataFrame:
+    """All events; ``json_round_trip`` is bound to the event types in its SQL."""
+    path = f"{shared_dir(spark)}/kv_json_{uuid.uuid4().hex}"
+    L.publish_json(table(spark, d, "events").select("event_id", "event_type", "value"), path)
+    return L.read_json(spark, path, "event_id long, event_type string, value double")
+
+
 @query("SELECT CAST(a AS DATE) AS desde, least(CAST(a + INTERVAL 30 DAY AS DATE), DATE '2024-12-31') AS hasta FROM (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-12-31', INTERVAL 31 DAY)) AS a)")
 def chunk_windows(spark: SparkSession, d: str) -> DataFrame:
     from datetime import date
