@@ -642,6 +642,13 @@ def coverage_and_drift(spark: SparkSession, d: str) -> DataFrame:
     return quality.coverage_and_drift(f, "fecha_hora")
 
 
+@query("""WITH c AS (SELECT CAST(fecha_hora AS DATE) AS f, count(*) AS n, count(DISTINCT hour(fecha_hora)) AS h FROM fact_demanda_real WHERE fecha_hora IS NOT NULL GROUP BY 1), s AS (SELECT CAST(unnest(generate_series(min(f)::TIMESTAMP, max(f)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS f FROM c), m AS (SELECT quantile_disc(n, 0.5) AS mediana FROM c)
+  SELECT count(*) AS dias, count(*) FILTER (WHERE coalesce(h, 0) <> 24) AS dias_incompletos, count(*) FILTER (WHERE coalesce(n, 0) < mediana * 0.5 OR coalesce(n, 0) > mediana * 2.0) AS dias_atipicos, max(mediana) AS mediana FROM s LEFT JOIN c USING (f), m""")
+def coverage_and_drift_all(spark: SparkSession, d: str) -> DataFrame:
+    """Over all readings; ``coverage_and_drift`` is bound to the agents and days in its SQL."""
+    return quality.coverage_and_drift(table(spark, d, "fact_demanda_real"), "fecha_hora")
+
+
 @query("SELECT count(*) AS filas, count(DISTINCT generacion_key) AS claves, CAST(sum(generacion_real_kwh) AS DOUBLE) AS total FROM fact_generacion_real")
 def fingerprint(spark: SparkSession, d: str) -> DataFrame:
     return quality.fingerprint(table(spark, d, "fact_generacion_real"), "generacion_key", "generacion_real_kwh").select("filas", "claves", F.col("total").cast("double").alias("total"))

@@ -20,3 +20,12 @@ def test_json_round_trip_of_all_event_types(frame, spark, tmp_path):
     rows = [(1, "click", 1.5), (2, "view", 2.0), (3, None, None)]
     frame("event_id long, event_type string, value double", rows).write.parquet(f"{tmp_path}/events.parquet")
     assert sorted(map(tuple, run(spark, "json_round_trip_all", tmp_path))) == rows
+
+
+def test_coverage_and_drift_of_all_readings(frame, spark, tmp_path):
+    # agents 7 and 1; the 11th is there, the 13th is missing, the 14th has one hour too few and the 15th three times the rows
+    hours = {10: range(24), 11: range(24), 12: range(24), 14: range(23), 15: [*range(24)] * 3}
+    rows = [(a, dt.datetime(2024, 3, d, h)) for d, hs in hours.items() for h in hs for a in (7, 1)] + [(1, None)]
+    frame("agente_key long, fecha_hora timestamp", rows).write.parquet(f"{tmp_path}/fact_demanda_real.parquet")
+    (r,) = run(spark, "coverage_and_drift_all", tmp_path)
+    assert (r["dias"], r["dias_incompletos"], r["dias_atipicos"], r["mediana"]) == (6, 2, 2, 48)
