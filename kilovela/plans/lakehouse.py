@@ -312,6 +312,16 @@ def invalid_key_profile(spark: SparkSession, d: str) -> DataFrame:
     return quality.key_profile(g, [*GEN.key, "version", "fecha_hora"], ("fecha_hora",), "valor")
 
 
+_GKEY = "codigo_variable, codigo_duracion, unidad_medida, codigo_agente, codigo_planta, version, fecha_hora"
+
+
+@query(f"""SELECT count(*) AS filas, count(*) FILTER (WHERE fecha_hora IS NULL OR {" OR ".join(f"coalesce(trim({c}), '') = ''" for c in _GKEY.split(", ")[:-1])}) AS claves_invalidas, (SELECT count(*) FROM (SELECT DISTINCT {_GKEY} FROM generacion_real)) AS claves,
+  count(*) - (SELECT count(*) FROM (SELECT DISTINCT {_GKEY} FROM generacion_real)) AS duplicados, count(*) FILTER (WHERE valor < 0) AS negativos FROM generacion_real""")
+def invalid_key_profile_all(spark: SparkSession, d: str) -> DataFrame:
+    """Over all rows, NULL and blank key parts among them; ``invalid_key_profile`` is bound to the rows in its SQL."""
+    return quality.key_profile(table(spark, d, "generacion_real"), [*GEN.key, "version", "fecha_hora"], ("fecha_hora",), "valor")
+
+
 @query("SELECT count(*) AS filas, count(*) FILTER (WHERE valor = 0) AS ceros, count(*) FILTER (WHERE valor < 0) AS negativos, count(*) FILTER (WHERE valor IS NULL) AS nulos, min(fecha_hora) AS primera, max(fecha_hora) AS ultima FROM precio_bolsa")
 def global_profile(spark: SparkSession, d: str) -> DataFrame:
     v = F.col("valor")

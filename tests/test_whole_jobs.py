@@ -29,3 +29,13 @@ def test_coverage_and_drift_of_all_readings(frame, spark, tmp_path):
     frame("agente_key long, fecha_hora timestamp", rows).write.parquet(f"{tmp_path}/fact_demanda_real.parquet")
     (r,) = run(spark, "coverage_and_drift_all", tmp_path)
     assert (r["dias"], r["dias_incompletos"], r["dias_atipicos"], r["mediana"]) == (6, 2, 2, 48)
+
+
+def test_key_profile_counts_blank_and_null_key_parts(frame, spark, tmp_path):
+    t, key = dt.datetime(2024, 1, 1), ("GReal", "PT1H", "kWh", "A", "P")
+    versions = [("TXF", 1.0), ("TXF", 1.0), (" ", -1.0), (" ", 2.0), (None, -3.0)]
+    rows = [(*key, v, t, x) for v, x in versions] + [("GReal", "PT1H", "kWh", None, "P", "TXF", t, 1.0), (*key, "TXF", None, 1.0)]
+    ddl = "codigo_variable string, codigo_duracion string, unidad_medida string, codigo_agente string, codigo_planta string, version string, fecha_hora timestamp, valor double"
+    frame(ddl, rows).write.parquet(f"{tmp_path}/generacion_real.parquet")
+    (r,) = run(spark, "invalid_key_profile_all", tmp_path)
+    assert (r["filas"], r["claves_invalidas"], r["claves"], r["duplicados"], r["negativos"]) == (7, 5, 5, 2, 2)
