@@ -110,10 +110,16 @@ def implausible(tables: list[tuple[DataFrame, Measure]], high: float = 3.0, low:
 
 def contextual(tables: list[tuple[DataFrame, Measure]], jump: float = 1.0) -> DataFrame:
     """Softer marks by context: outside the fences of the source's hour of day (``fuera_de_valla``), or a change from the
-    period before by more than ``jump`` times the fence width (``salto``). One row per marked reading."""
+    period before by more than ``jump`` times the fence width (``salto``). A period's state is its reading of the highest id;
+    every reading of the next period is compared with it, also across block borders. One row per marked reading."""
     r = reduce(DataFrame.unionByName, [readings(df, m) for df, m in tables]).where(F.col("src").isNotNull() & F.col("t").isNotNull())
-    w = Window.partitionBy(*KEY, "block").orderBy("t", "id")
-    x = r.withColumn("block", _block(F.col("t"))).withColumn("hora", F.hour(F.timestamp_micros(F.col("t")))).withColumn("_antes", F.lag("v").over(w))
+    x = r.withColumn("block", _block(F.col("t"))).withColumn("hora", F.hour(F.timestamp_micros(F.col("t"))))
+    state = F.max(F.struct("t", "id", "v"))
+    ends = x.groupBy(*KEY, "block").agg(state.alias("_fin"))
+    carried = ends.select(*KEY, "block", F.lag("_fin.v").over(Window.partitionBy(*KEY).orderBy("block")).alias("_previo"))
+    earlier = Window.partitionBy(*KEY, "block").orderBy("t").rangeBetween(Window.unboundedPreceding, -1)
+    x = join_small(x.withColumn("_antes", state.over(earlier)["v"]), stage(carried, "carried"), [*KEY, "block"], "left", salt_of="id")
+    x = x.withColumn("_antes", F.coalesce("_antes", "_previo"))
     x = join_small(x, stage(fences(r), "fences"), [*KEY, "hora"], "left", salt_of="id")
     x = x.withColumn("fuera_de_valla", (F.col("v") > F.col("valla_alta")) | (F.col("v") < F.col("valla_baja")))
     x = x.withColumn("salto", F.abs(F.col("v") - F.col("_antes")) > jump * (F.col("valla_alta") - F.col("valla_baja")))

@@ -1,8 +1,10 @@
 """Registered queries on small fixtures: the whole table is their input."""
 
 import datetime as dt
+import random
 
 import __spark_entry__ as entry
+from kilovela.operators import anomalies
 
 
 def run(spark, name, d):
@@ -39,3 +41,35 @@ def test_key_profile_counts_blank_and_null_key_parts(frame, spark, tmp_path):
     frame(ddl, rows).write.parquet(f"{tmp_path}/generacion_real.parquet")
     (r,) = run(spark, "invalid_key_profile_all", tmp_path)
     assert (r["filas"], r["claves_invalidas"], r["claves"], r["duplicados"], r["negativos"]) == (7, 5, 5, 2, 2)
+
+
+READ = "registro_id long, codigo_planta string, fecha_hora timestamp, valor double"
+MEASURE = anomalies.Measure("t", "registro_id", "codigo_planta", "fecha_hora", "valor")
+
+
+def jumps(frame, rows, jump):
+    return sorted(r["registro_id"] for r in anomalies.contextual([(frame(READ, rows), MEASURE)], jump).collect() if r["salto"])
+
+
+def test_jump_at_a_block_border_and_in_every_version(frame):
+    day = lambda k: dt.datetime(2026, 1, 1) + dt.timedelta(days=k)
+    border = next(k for k in range(40, 80) if (day(k) - dt.datetime(1970, 1, 1)).days * 86400 % anomalies.BLOCK_S == 0)
+    rows = [(k, "a", day(k), 500.0 if k == border else 10.0 + k % 3) for k in range(100)]
+    assert jumps(frame, rows, 1.0) == [border, border + 1]
+    rows = [(k, "a", day(k), 10.0 + k % 3) for k in range(100) if k != 70] + [(200, "a", day(70), 500.0), (201, "a", day(70), 500.0)]
+    assert jumps(frame, rows, 1.0) == [71, 200, 201]
+
+
+def test_jumps_equal_brute_force_over_blocks(frame):
+    rnd, rows = random.Random(3), []
+    for s in "abc":
+        h = 0
+        for _ in range(150):
+            h += rnd.choice([1, 1, 24, 400, 2000])
+            rows += [(rnd.randrange(10**9), s, dt.datetime(2025, 1, 1) + dt.timedelta(hours=h), rnd.choice([1.0, 2.0])) for _ in range(rnd.choice([1, 2, 3]))]
+    rnd.shuffle(rows)
+    want = []
+    for i, s, t, v in rows:
+        if before := [(u, j, x) for j, r, u, x in rows if r == s and u < t]:
+            want += [i] if max(before)[2] != v else []
+    assert jumps(frame, rows, 0.0) == sorted(want)
