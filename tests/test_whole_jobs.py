@@ -1,9 +1,11 @@
 """Registered queries on small fixtures: the whole table is their input."""
 
 import datetime as dt
+import math
 import random
 
 import __spark_entry__ as entry
+from kilovela.llm import survivors
 from kilovela.operators import anomalies
 
 
@@ -73,3 +75,14 @@ def test_jumps_equal_brute_force_over_blocks(frame):
         if before := [(u, j, x) for j, r, u, x in rows if r == s and u < t]:
             want += [i] if max(before)[2] != v else []
     assert jumps(frame, rows, 0.0) == sorted(want)
+
+
+def test_source_weights_count_unanimous_groups(frame):
+    ddl = "registro_id long, k string, version string, valor double, ingestion_timestamp timestamp"
+    rows = [(2 * k + i, f"k{k}", v, 1.0, None) for k in range(98) for i, v in enumerate(("TX1", "TX2"))]
+    rows += [(900, "x", "TXF", 5.0, None), (901, "x", "TXR", 5.0, None), (902, "x", "TX1", 6.0, None)]
+    rows += [(1000 + 2 * k + i, f"y{k}", v, 1.0, None) for k in range(50) for i, v in enumerate(("TXF", "TXR"))]
+    w = survivors.discover(survivors.claims(frame(ddl, rows), ["k"], "valor", "version", "ingestion_timestamp", "registro_id"))
+    # TX1 loses 1 of 99 groups, TX2 none of 98, TXF and TXR none of 51; TX3 claims nothing
+    want = {2: 2 / 101, 3: 1 / 100, survivors.TXF: 1 / 53, survivors.TXR: 1 / 53}
+    assert all(abs(w[i] + math.log(e)) < 1e-9 for i, e in want.items()) and w[4] == 1.0
