@@ -365,7 +365,7 @@ def sorted_set_string(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def approx_distinct(spark: SparkSession, d: str) -> DataFrame:
     """Rows only: the estimate is engine-specific."""
-    return X.completeness(table(spark, d, "generacion_real").drop("source_file_path"), approximate=True)
+    return X.completeness(table(spark, d, "generacion_real"), approximate=True)
 
 
 @query("SELECT event_type, count(value) AS n, round(avg(value), 6) AS media, round(stddev_samp(value), 6) AS desviacion, min(value) AS minimo, max(value) AS maximo, quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.5) AS mediana, quantile_disc(value, 0.75) AS q3 FROM events GROUP BY 1")
@@ -820,6 +820,15 @@ def completeness_profile(spark: SparkSession, d: str) -> DataFrame:
     return X.completeness(table(spark, d, "documents").select("lang", "source", "post_type", "tags", "parent_id", "votes"))
 
 
+_DOC = ("doc_id", "text", "lang", "source", "n_chars", "post_type", "parent_id", "answer_rank", "votes", "is_accepted", "author_id", "tags", "created_at")
+
+
+@query("SELECT columna, (SELECT count(*) FROM documents) AS filas, nulos, vacios, distintos FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS columna, count(*) FILTER (WHERE {c} IS NULL) AS nulos, count(*) FILTER (WHERE trim({c}::VARCHAR) = '') AS vacios, count(DISTINCT {c}) AS distintos FROM documents" for c in _DOC) + ")")
+def completeness_profile_all(spark: SparkSession, d: str) -> DataFrame:
+    """Every column of the table; ``completeness_profile`` is bound to the columns in its SQL."""
+    return X.completeness(table(spark, d, "documents"))
+
+
 @query("SELECT lang, count(*) AS filas FROM documents WHERE lang IS NOT NULL AND upper(trim(lang)) NOT IN ('ES', 'EN', 'PT') GROUP BY 1")
 def domain_violations(spark: SparkSession, d: str) -> DataFrame:
     return X.outside_domain(table(spark, d, "documents"), "lang", ["ES", "EN", "PT"])

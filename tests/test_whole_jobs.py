@@ -86,3 +86,12 @@ def test_source_weights_count_unanimous_groups(frame):
     # TX1 loses 1 of 99 groups, TX2 none of 98, TXF and TXR none of 51; TX3 claims nothing
     want = {2: 2 / 101, 3: 1 / 100, survivors.TXF: 1 / 53, survivors.TXR: 1 / 53}
     assert all(abs(w[i] + math.log(e)) < 1e-9 for i, e in want.items()) and w[4] == 1.0
+
+
+def test_completeness_covers_every_column(frame, spark, tmp_path):
+    for name, t in (("completeness_profile_all", "documents"), ("approx_distinct", "generacion_real")):
+        cols = spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").columns
+        assert sorted(r["columna"] for r in run(spark, name, "/root/testdata/sf0.001")) == sorted(cols)
+    frame("doc_id long, text string", [(1, " "), (2, None), (3, "a"), (3, "a")]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["columna"]: (r["filas"], r["nulos"], r["vacios"], r["distintos"]) for r in run(spark, "completeness_profile_all", tmp_path)}
+    assert got == {"doc_id": (4, 0, 0, 3), "text": (4, 1, 1, 2)}
