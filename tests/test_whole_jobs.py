@@ -5,7 +5,7 @@ import math
 import random
 
 import __spark_entry__ as entry
-from kilovela.llm import survivors
+from kilovela.llm import canonical, survivors
 from kilovela.operators import anomalies
 
 
@@ -95,3 +95,17 @@ def test_completeness_covers_every_column(frame, spark, tmp_path):
     frame("doc_id long, text string", [(1, " "), (2, None), (3, "a"), (3, "a")]).write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["columna"]: (r["filas"], r["nulos"], r["vacios"], r["distintos"]) for r in run(spark, "completeness_profile_all", tmp_path)}
     assert got == {"doc_id": (4, 0, 0, 3), "text": (4, 1, 1, 2)}
+
+
+def test_similar_name_beyond_the_first_cosines_is_found():
+    # the decoys share most n-grams with the value in another order, the right entry few but most letters in place
+    decoys = [(f"d{a}{b}", f"FGHJKABCDE{a}{b}") for a in "LMNPQR" for b in "LMNPQR"] + [("near", "ABCLMNPQRSTWZ")]
+    ix = canonical.Index([*decoys, ("right", "QBCDRFGHJS")])
+    q = canonical.normal("ABCDEFGHJK")
+    assert [i for _, i in ix.cosines(q)].index(-len(decoys)) >= 25
+    assert ix.match("ABCDEFGHJK")[0] == "right"
+    # an equally similar entry, however far down, makes it ambiguous
+    assert canonical.Index([*decoys, ("right", "QBCDRFGHJS"), ("other", "ZBCDTFGHJS")]).match("ABCDEFGHJK")[0] == canonical.UNKNOWN
+    # the beginning of a cut name
+    ix = canonical.Index([*decoys, ("right", "QBCDRFGHJKLMNPRSTWZLMNPRSTWZ")])
+    assert ix.match("ABCDEFGHJK.")[0] == "right"
