@@ -1,15 +1,19 @@
 """Keyword-stuffed and link-list pages, by a hidden Markov model over lines.
 
-Each non-empty line becomes a vector of coarse features (share of its words in links, in tags, in phrases the page repeats,
-poverty of words, in short enumerated segments, in numbers; code; length). A hidden Markov model with the states prose, data (tables, code,
-numbered values), link list, tag list, menu (separated search phrases, offers) and phrases (a menu without
-separators) labels the lines of a page; a page is flagged if over half of its words stand in lines of the last four states
-and these hold at least ``least`` items.
+Each line with words becomes a vector of coarse features (share of its words in links, in tags, in short segments, in word
+pairs the page repeats; poverty of words in the line and in the page; numbers; code; length; how it ends). A hidden Markov
+model with the states prose, data (code, tables, numbered values), link list, tag list, menu (separated search phrases,
+offers) and phrases (keywords without separators) labels the lines of a page; a page is flagged if over half of its words
+stand in lines of the last four states and these hold at least ``least`` items.
 
-Features are computed once per page in Arrow batches and staged; training then reads only the small feature rows. Training
-is Viterbi re-estimation over all pages: per round one pass counts (state, feature value) and transitions with a map-side
-sum, and the driver gets these counts only. The hand-set start of the model keeps a fixed share of each estimate, so
-that rare states do not drift on a corpus that has few such pages.
+The model is trained here. Its start knows a state by one feature only, its signature (links by the share of links, menus by
+repeated word pairs, ...), and is flat in all others; Viterbi training over all pages fills in the rest: which lengths,
+segments, endings and numbers go with each state, and which state follows which. Pages whose lines have no signature, such as
+shuffled keywords or lists of offers, are found through what training has learnt.
+
+Features are computed in Arrow batches, whole batches of pages at once on arrays of code points, and staged; training then
+reads only the small feature rows. A training round is one pass that counts (state, feature value) and transitions with a
+map-side sum; the driver gets these counts only, some hundreds of numbers.
 
 Everything is per page: no shuffle of texts, so no hot source or author. Defined results: NULL, empty and wordless texts
 have share 0 and are not flagged; repeated rows are each judged; whole texts are read, whatever their length.
@@ -20,9 +24,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,84 +38,155 @@ STATES = ("prosa", "datos", "enlaces", "etiquetas", "menu", "frases")
 LISTED = np.array([False, False, True, True, True, True])
 
 # Feature names with their numbers of values.
-FEATURES = {"enlace": 3, "etiqueta": 3, "repetido": 4, "corto": 3, "numero": 3, "codigo": 2, "largo": 3, "frase": 3, "pobre": 3, "enumera": 3}
+FEATURES = {"enlace": 3, "etiqueta": 3, "repetido": 4, "corto": 3, "numero": 3, "codigo": 2, "largo": 3, "frase": 3, "pobre": 3, "pagina": 3, "enumera": 3}
 SIZES = list(FEATURES.values())
 
-WORD = re.compile(r"[^\W_]+")
 LINK = re.compile(r"<a\b[^>]*>.*?</a>|!?\[[^\]\n]*\]\([^)\s]*\)|(?:\b[a-z][a-z0-9+.-]*://|\bwww\.)[^\s<>\"')\]]+", re.I)
-TAG = re.compile(r"#[^\W_]+")
-CODE = re.compile(r"[=<>{}\[\]()]|\b(?:def|for|if|import|return|print|SELECT|FROM|WHERE|GROUP BY|File|Traceback)\b|\"\w+\"|^\w*(?:Error|Exception)\b")
-FENCE = re.compile(r"^\s*(?:```|~~~)")
-CUT = re.compile(r"[,;|·•\t/»•–—]|\s[-*~+>]\s|^\s*[-*+>]\s|[.:!?](?:\s|$)")
-BULLET = re.compile(r"^\s*(?:\d+[.)]|[a-z][.)])\s")
-
-
-def _bins(x: float, *cuts: float) -> int:
-    return sum(x >= c for c in cuts)
-
-
-def _repeated(ws: list[str]) -> np.ndarray:
-    """Which words lie in a pair of words that makes up a large part of the page: a pair seen three times or more and in at
-    least one of 40 words counts, as does a word repeated that often in a row of phrases."""
-    n = len(ws)
-    hit = np.zeros(n, dtype=bool)
-    least = max(3, n / 40)
-    for size in (2, 3):
-        grams = list(zip(*[ws[i:] for i in range(size)], strict=False))
-        often = Counter(grams)
-        for i, g in enumerate(grams):
-            if often[g] >= least:
-                hit[i : i + size] = True
-    return hit
-
-
-def features(text: str | None) -> tuple[list[int], list[int], list[int]]:
-    """(symbol, words, items) of each line with words; symbol packs the features in mixed radix."""
-    if not text:
-        return [], [], []
-    lines, fence, pre = [], False, False
-    for raw in text.split("\n"):
-        if FENCE.match(raw):
-            fence = not fence
-            continue
-        low = raw.lower()
-        pre = pre or "<pre" in low or "<code" in low
-        lines.append((raw, fence or pre))
-        if "</pre" in low or "</code" in low:
-            pre = False
-    per = [[m.group().lower() for m in WORD.finditer(raw)] for raw, _ in lines]
-    hit = _repeated([w for ws in per for w in ws])
-    symbols, counts, items, at = [], [], [], 0
-    for (raw, coded), ws in zip(lines, per, strict=True):
-        n = len(ws)
-        if not n:
-            continue
-        low = raw.lower()
-        links = [m.group() for m in LINK.finditer(raw)] if "://" in low or "www." in low or "](" in low or "<a" in low else []
-        in_links = sum(len(WORD.findall(x)) for x in links)
-        rest = LINK.sub(" , ", raw) if links else raw
-        tags = TAG.findall(rest)
-        segments = [len(WORD.findall(s)) for s in CUT.split(rest.replace("#", ","))]
-        segments = [s for s in segments if s]
-        short = sum(s for s in segments if s <= 6)
-        left = sum(segments)
-        few = len(set(ws)) / n**0.5 if n >= 16 else 9.0  # distinct words grow about as the root of the length
-        digits = sum(w[0].isdigit() or w.isdigit() for w in ws)
-        rep = hit[at : at + n].mean()
-        at += n
-        ends = rest.rstrip()[-1:] in ".?!:"
-        f = (
-            _bins(in_links / n, 0.3, 0.6), _bins(len(tags) / n, 0.2, 0.6), _bins(rep, 0.25, 0.5, 0.75),
-            _bins(short / left if left else 1.0, 0.4, 0.8), _bins(digits / n, 0.25, 0.5), int(coded or len(CODE.findall(rest)) * 4 > n and not links),
-            _bins(n, 5, 15), 0 if BULLET.match(raw) else 1 if ends else 2, 2 - _bins(few, 2.5, 3.2), _bins(sum(x <= 6 for x in segments), 3, 8),
-        )
-        s = 0
-        for v, size in zip(f, SIZES, strict=True):
-            s = s * size + v
-        symbols.append(s)
-        counts.append(n)
-        items.append(max(len(links), len(tags), sum(1 for x in segments if x <= 6), int(rep >= 0.5 or few < 2.5) * (n // 4)))
-    return symbols, counts, items
+CODED = re.compile(r"^[ \t]*(```|~~~).*?(?:^[ \t]*\1|\Z)|<(pre|code)\b.*?(?:</\2>|\Z)", re.S | re.M | re.I)
+SEPARATORS = ",;|·•\t/»–—#\n"
+SYMBOLS = "=<>{}[]()_\\`"
+
+
+WORD, DIGIT, SPACE, BREAK, DASH, STOP, SYMBOL = (np.uint8(1 << k) for k in range(7))
+
+
+@lru_cache(maxsize=1)
+def _letters() -> tuple[np.ndarray, np.ndarray]:
+    """Of every code point: its kinds as bits, and its lower case where that is one code point."""
+    chars = [chr(c) for c in range(0x110000)]
+    kinds, low = np.zeros(len(chars), dtype=np.uint8), np.arange(len(chars), dtype=np.uint64)
+    for bit, test in ((WORD, str.isalnum), (DIGIT, str.isdigit), (SPACE, str.isspace)):
+        kinds |= np.fromiter((test(c) for c in chars), dtype=bool, count=len(chars)) * bit
+    for bit, those in ((BREAK, SEPARATORS), (DASH, "-*~+>"), (STOP, ".:!?"), (SYMBOL, SYMBOLS)):
+        kinds[[ord(c) for c in those]] |= bit
+    for i, c in enumerate(chars):
+        if c.isupper() and len(x := c.lower()) == 1:
+            low[i] = ord(x)
+    return kinds, low
+
+
+MIX = np.random.default_rng(10).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1)
+GOLD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _spread(flag: np.ndarray) -> np.ndarray:
+    """Position of the last true flag at or before each place (0 before the first)."""
+    return np.maximum.accumulate(np.where(flag, np.arange(len(flag)), 0))
+
+
+def _spans(texts: list[str], at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Marks of the places inside links and inside code blocks, and the places where links begin. The patterns run over pages only
+    that hold a link's or a code block's mark."""
+    link, coded, begins = np.zeros(size + 1, dtype=np.int32), np.zeros(size + 1, dtype=np.int32), []
+    for t, a in zip(texts, at.tolist(), strict=True):
+        low = t.lower()
+        if "://" in t or "www." in low or "](" in t or "<a" in low:
+            for m in LINK.finditer(t):
+                link[a + m.start()] += 1
+                link[a + m.end()] -= 1
+                begins.append(a + m.start())
+        if "```" in t or "~~~" in t or "<pre" in low or "<code" in low:
+            for m in CODED.finditer(t):
+                coded[a + m.start()] += 1
+                coded[a + m.end()] -= 1
+    return np.cumsum(link)[:-1] > 0, np.cumsum(coded)[:-1] > 0, np.array(begins, dtype=np.int64)
+
+
+def _counts(key: np.ndarray) -> np.ndarray:
+    """How often each element's value occurs."""
+    _, back, n = np.unique(key, return_inverse=True, return_counts=True)
+    return n[back]
+
+
+def _distinct(group: np.ndarray, word: np.ndarray, groups: int) -> np.ndarray:
+    """Distinct words per group number, by 40 bits of their hashes."""
+    key = np.sort((group.astype(np.uint64) << np.uint64(40)) | (word & np.uint64((1 << 40) - 1)))
+    new = np.ones(len(key), dtype=bool)
+    new[1:] = key[1:] != key[:-1]
+    return np.bincount((key[new] >> np.uint64(40)).astype(np.int64), minlength=groups)
+
+
+def _bin(x: np.ndarray, *cuts: float) -> np.ndarray:
+    return np.searchsorted(np.array(cuts), x, side="right")
+
+
+def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the lines with words of all pages, in order: page number, symbol, words, items. The symbol packs the features in mixed
+    radix."""
+    none = np.zeros(0, dtype=np.int64)
+    sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
+    joined = "".join(f"{t}\n" for t in texts)
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    total = len(codes)
+    if not total:
+        return none, none, none, none
+    kinds, lower = _letters()
+    page_at, kind = np.cumsum(sizes) - sizes, kinds[codes]
+    of = lambda bit, x=kind: (x & bit) != 0
+    alnum, blank, newline = of(WORD), of(SPACE), codes == 10
+    blank_next = np.concatenate((blank[1:], [True]))
+    begin = alnum & ~np.concatenate(([False], alnum[:-1]))
+    w = np.flatnonzero(begin)
+    if not len(w):
+        return none, none, none, none
+    end = np.flatnonzero(alnum & ~np.concatenate((alnum[1:], [False])))
+    line_of, line_at = np.cumsum(newline) - newline, np.concatenate(([0], np.flatnonzero(newline)[:-1] + 1))
+    lines = len(line_at)
+    page_of_line = np.searchsorted(page_at, line_at, side="right") - 1
+    in_link, in_code, link_at = _spans(texts, page_at, total)
+
+    # words: hash, line, page
+    letter = np.where(alnum, lower[codes] * MIX[(np.arange(total) - _spread(begin)) & 63], np.uint64(0))
+    word = np.add.reduceat(letter, w) * GOLD
+    word ^= word >> np.uint64(29)
+    line = line_of[w]
+    page = page_of_line[line]
+    n = np.bincount(line, minlength=lines)
+    page_n = np.bincount(page, minlength=len(texts))
+
+    # pairs of neighbouring words that a page repeats: three times or more, and once in 40 words or more
+    same = page[1:] == page[:-1]
+    pair = (word[:-1] * MIX[1] + word[1:]) * GOLD + page[:-1].astype(np.uint64) * MIX[2]
+    often = np.zeros(len(w), dtype=bool)
+    many = np.zeros(len(same), dtype=bool)
+    many[same] = _counts(pair[same]) >= np.maximum(3, page_n[page[:-1]][same] / 40)
+    often[:-1] |= many
+    often[1:] |= many
+
+    linked, tagged = in_link[w], (codes[np.maximum(w - 1, 0)] == 35) & ~in_link[w]
+    stop = of(BREAK) | in_link | (of(STOP) & blank_next) | (of(DASH) & np.concatenate(([True], blank[:-1])) & blank_next)
+    segment = np.cumsum(stop)[w][~linked]
+    _, seg_first, seg_of, seg_n = np.unique(segment, return_index=True, return_inverse=True, return_counts=True)
+    short_word = seg_n[seg_of] <= 6
+    seg_line = line[~linked][seg_first]
+    per = lambda which: np.bincount(which, minlength=lines)
+    free, short = per(line[~linked]), per(line[~linked][short_word])
+    short_segments = per(seg_line[seg_n <= 6])
+    n1 = np.maximum(n, 1)
+    part = lambda which: per(line[which]) / n1
+    numbers = of(DIGIT, kind[w])
+    symbols = np.bincount(line_of[of(SYMBOL) & ~in_link], minlength=lines)
+    links = np.bincount(line_of[link_at], minlength=lines) if len(link_at) else np.zeros(lines, dtype=np.int64)
+    in_block = np.bincount(line, weights=in_code[w], minlength=lines) > 0
+    last = np.maximum.reduceat(np.where(blank, -1, np.arange(total)), line_at)
+    closes = of(STOP, kind[np.maximum(last, 0)]) & ~in_link[np.maximum(last, 0)]
+    first_word = np.full(lines, -1)
+    first_word[line[::-1]] = np.arange(len(w))[::-1]
+    fw = np.maximum(first_word, 0)
+    bullet = numbers[fw] & np.isin(codes[np.minimum(end[fw] + 1, total - 1)], (46, 41))
+    poor = np.where(n >= 16, _distinct(line, word, lines) / np.sqrt(n1), 9.0)
+    page_poor = np.where(page_n >= 16, _distinct(page, word, len(texts)) / np.sqrt(np.maximum(page_n, 1)), 9.0)[page_of_line]
+    repeated = part(often)
+    f = (
+        _bin(part(linked), 0.3, 0.6), _bin(part(tagged), 0.2, 0.6), _bin(repeated, 0.25, 0.5, 0.75), _bin(np.where(free > 0, short / np.maximum(free, 1), 1.0), 0.4, 0.8), _bin(part(numbers), 0.25, 0.5),
+        (in_block | ((symbols * 4 > n) & (links == 0))).astype(np.int64), _bin(n, 5, 15), np.where(bullet, 0, np.where(closes, 1, 2)), 2 - _bin(poor, 2.0, 3.0), 2 - _bin(page_poor, 2.0, 3.0), _bin(short_segments, 3, 8),
+    )
+    packed = np.zeros(lines, dtype=np.int64)
+    for x, size in zip(f, SIZES, strict=True):
+        packed = packed * size + x
+    items = np.maximum.reduce([links, per(line[tagged]), short_segments, np.where((repeated >= 0.5) | (poor < 2.5), n // 4, 0)])
+    has = n > 0
+    return page_of_line[has], packed[has], n[has], items[has]
 
 
 def unpack(symbols: np.ndarray) -> np.ndarray:
@@ -120,20 +197,9 @@ def unpack(symbols: np.ndarray) -> np.ndarray:
     return out
 
 
-# Start of the model: per feature the chance of each value in prosa, datos, enlaces, etiquetas, menu, frases.
-START = {
-    "enlace": [[0.86, 0.12, 0.02], [0.94, 0.03, 0.03], [0.01, 0.09, 0.90], [0.96, 0.02, 0.02], [0.94, 0.03, 0.03], [0.96, 0.02, 0.02]],
-    "etiqueta": [[0.97, 0.02, 0.01], [0.97, 0.02, 0.01], [0.94, 0.03, 0.03], [0.02, 0.08, 0.90], [0.95, 0.04, 0.01], [0.97, 0.02, 0.01]],
-    "repetido": [[0.62, 0.22, 0.13, 0.03], [0.60, 0.15, 0.15, 0.10], [0.40, 0.25, 0.20, 0.15], [0.50, 0.20, 0.20, 0.10], [0.30, 0.10, 0.15, 0.45], [0.30, 0.20, 0.20, 0.30]],
-    "corto": [[0.72, 0.22, 0.06], [0.10, 0.20, 0.70], [0.05, 0.10, 0.85], [0.02, 0.08, 0.90], [0.10, 0.10, 0.80], [0.90, 0.05, 0.05]],
-    "numero": [[0.93, 0.05, 0.02], [0.15, 0.20, 0.65], [0.70, 0.25, 0.05], [0.96, 0.03, 0.01], [0.70, 0.25, 0.05], [0.96, 0.03, 0.01]],
-    "codigo": [[0.98, 0.02], [0.40, 0.60], [0.95, 0.05], [0.98, 0.02], [0.98, 0.02], [0.98, 0.02]],
-    "largo": [[0.08, 0.37, 0.55], [0.47, 0.48, 0.05], [0.25, 0.60, 0.15], [0.15, 0.25, 0.60], [0.20, 0.35, 0.45], [0.02, 0.03, 0.95]],
-    "frase": [[0.10, 0.85, 0.05], [0.05, 0.10, 0.85], [0.05, 0.10, 0.85], [0.02, 0.08, 0.90], [0.05, 0.20, 0.75], [0.03, 0.07, 0.90]],
-    "pobre": [[0.965, 0.03, 0.005], [0.97, 0.02, 0.01], [0.80, 0.10, 0.10], [0.80, 0.12, 0.08], [0.45, 0.15, 0.40], [0.05, 0.10, 0.85]],
-    "enumera": [[0.75, 0.20, 0.05], [0.60, 0.385, 0.015], [0.55, 0.20, 0.25], [0.10, 0.20, 0.70], [0.35, 0.15, 0.50], [0.90, 0.08, 0.02]],
-}
-STAY = 0.8
+# What the start knows: a state's signature is the highest value of one feature, and lines of other states rarely have it.
+SIGNATURE = {"prosa": ("frase", 1), "datos": ("codigo", 1), "enlaces": ("enlace", 2), "etiquetas": ("etiqueta", 2), "menu": ("repetido", 3), "frases": ("pobre", 2)}
+SURE, STRAY, STAY = 0.9, 0.05, 0.8
 
 
 class Model:
@@ -141,13 +207,22 @@ class Model:
 
     def __init__(self) -> None:
         k = len(STATES)
-        self.start = np.log(np.array([0.8, *[0.2 / (k - 1)] * (k - 1)]))
+        self.start = np.log(np.full(k, 1 / k))
         self.move = np.log(np.full((k, k), (1 - STAY) / (k - 1)) + np.eye(k) * (STAY - (1 - STAY) / (k - 1)))
-        self.emit = [np.log(np.array(START[f])) for f in FEATURES]
+        self.emit = []
+        for name, size in FEATURES.items():
+            e = np.full((k, size), 1 / size)
+            for owner, (feature, value) in SIGNATURE.items():
+                if feature == name:
+                    for i, state in enumerate(STATES):
+                        p = SURE if state == owner else STRAY
+                        e[i] = (1 - p) / (size - 1)
+                        e[i, value] = p
+            self.emit.append(np.log(e))
 
     def scores(self, symbols: np.ndarray, n: np.ndarray) -> np.ndarray:
         """Log-chance of each line in each state. A line counts as one observation per 25 words, one to three."""
-        f = unpack(symbols)
+        f = unpack(symbols.astype(np.int64))
         return sum(e[:, f[:, j]].T for j, e in enumerate(self.emit)) * np.clip(n / 25, 1, 3)[:, None]
 
     def decode(self, symbols: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -201,39 +276,47 @@ class Model:
         for i, j, n in zip(index, range(len(pages)), sizes, strict=True):
             out[i] = z[j, :n]
 
-    def updated(self, counts: dict[tuple[int, int, int], int], keep: float) -> Model:
-        """Estimates from (feature or -1 for moves, -2 for starts; state; value) counts, mixed with a ``keep`` share of the
-        hand-set start."""
+    def updated(self, counts: dict[tuple[int, int, int], int], weight: float) -> Model:
+        """Estimates from (feature or -1 for moves, -2 for starts; state; value) counts; the start model counts as ``weight`` lines
+        of each state, which keeps chances off zero and fades as the corpus grows."""
         base, m = Model(), Model()
-        for j, e in enumerate(base.emit):
-            got = np.array([[counts.get((j, k, v), 0) for v in range(e.shape[1])] for k in range(len(STATES))], dtype=float)
-            m.emit[j] = self._mix(np.exp(e), got, keep)
-        m.move = self._mix(np.exp(base.move), np.array([[counts.get((-1, a, b), 0) for b in range(len(STATES))] for a in range(len(STATES))], dtype=float), keep)
-        m.start = self._mix(np.exp(base.start)[None], np.array([[counts.get((-2, 0, b), 0) for b in range(len(STATES))]], dtype=float), keep)[0]
+        k = range(len(STATES))
+        table = lambda j, states, values: np.array([[counts.get((j, a, v), 0) for v in values] for a in states], dtype=float)
+        mix = lambda prior, got: np.log((got + weight * np.exp(prior)) / (got.sum(1, keepdims=True) + weight))
+        m.emit = [mix(e, table(j, k, range(e.shape[1]))) for j, e in enumerate(base.emit)]
+        m.move = mix(base.move, table(-1, k, k))
+        m.start = mix(base.start[None], table(-2, (0,), k))[0]
         return m
 
-    @staticmethod
-    def _mix(prior: np.ndarray, got: np.ndarray, keep: float) -> np.ndarray:
-        total = got.sum(1, keepdims=True)
-        est = np.where(total > 0, got / np.maximum(total, 1), prior)
-        return np.log(keep * prior + (1 - keep) * est)
 
+def featured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chars: int = 500_000) -> DataFrame:
+    """(doc_id, s, n, k): line symbols, word counts and item counts of every page. Pages go through ``features`` in groups of about
+    ``chars`` characters; a longer page is a group of its own."""
+    ints = pa.list_(pa.int32())
 
-def featured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, s, n, k): line symbols, word counts and item counts of every page."""
+    def lists(page: np.ndarray, values: np.ndarray, pages: int) -> pa.Array:
+        ends = np.searchsorted(page, np.arange(pages + 1))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            f = [features(t) for t in b["t"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "s": [x[0] for x in f], "n": [x[1] for x in f], "k": [x[2] for x in f]})
+            ids, texts = b.column("doc_id"), [t or "" for t in b.column("t").to_pylist()]
+            room, at = np.cumsum([len(t) + 1 for t in texts]) // chars, 0
+            while at < len(texts):
+                stop = max(at + 1, int(np.searchsorted(room, room[at], side="right")))
+                page, *columns = features(texts[at:stop])
+                arrays = [ids.slice(at, stop - at), *(lists(page, c, stop - at) for c in columns)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema([("doc_id", pa.int64()), ("s", ints), ("n", ints), ("k", ints)]))
+                at = stop
 
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("t"))
-    return base.mapInPandas(run, "doc_id long, s array<int>, n array<int>, k array<int>")
+    return base.mapInArrow(run, "doc_id long, s array<int>, n array<int>, k array<int>")
 
 
-def train(feats: DataFrame, rounds: int = 2, keep: float = 0.5) -> Model:
-    """Viterbi training over all pages; the driver receives a few hundred counts per task and round."""
-    model = Model()
+def train(feats: DataFrame, rounds: int = 8, weight: float = 10.0, still: float = 1e-3) -> Model:
+    """Viterbi training over all pages until the states' shares of the lines stand still; the driver receives a few hundred counts
+    per task and round."""
+    model, last = Model(), None
     for _ in range(rounds):
 
         def count(batches: Iterator[pd.DataFrame], model: Model = model) -> Iterator[pd.DataFrame]:
@@ -255,7 +338,13 @@ def train(feats: DataFrame, rounds: int = 2, keep: float = 0.5) -> Model:
             yield pd.DataFrame([(*key, v) for key, v in c.items()], columns=["j", "a", "v", "c"])
 
         rows = feats.select("s", "n").mapInPandas(count, "j int, a int, v int, c long").groupBy("j", "a", "v").agg(F.sum("c").alias("c")).collect()
-        model = model.updated({(r["j"], r["a"], r["v"]): r["c"] for r in rows}, keep)
+        counts = {(r["j"], r["a"], r["v"]): r["c"] for r in rows}
+        model = model.updated(counts, weight)
+        share = np.array([sum(counts.get((0, a, v), 0) for v in range(SIZES[0])) for a in range(len(STATES))], dtype=float)
+        share /= max(share.sum(), 1.0)
+        if last is not None and np.abs(share - last).max() <= still:
+            break
+        last = share
     return model
 
 

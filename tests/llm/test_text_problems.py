@@ -229,14 +229,76 @@ FINE = [
 ]
 
 
+def planted(n, seed):
+    """(id, text, is spam): pages of prose with code, tables, steps and links, and stuffed pages of eight kinds, a line of prose
+    before some."""
+    rnd = random.Random(seed)
+    word = lambda k=0: "".join(rnd.choice(["ba", "ce", "di", "fo", "gu", "la", "me", "ni", "ro", "tu"]) for _ in range(rnd.randint(2, 4)))
+    vocab = [word() for _ in range(600)]
+    sentence = lambda: " ".join(rnd.choice(vocab) for _ in range(rnd.randint(6, 18))).capitalize() + rnd.choice(".?!")
+    prose = lambda: " ".join(sentence() for _ in range(rnd.randint(2, 6)))
+    phrases = [" ".join(rnd.sample(vocab, rnd.randint(2, 4))) for _ in range(12)]
+    url = lambda: f"https://{rnd.choice(vocab)}.test/{rnd.choice('pqr')}/{rnd.randint(1, 99999)}"
+    code = lambda: f"{rnd.choice(phrases).title()} {rnd.choice('ABKX')}{rnd.randint(100, 999)} {rnd.randint(1, 80)}%"
+
+    def spam():
+        some, k = rnd.sample(phrases, 3), rnd.randint(15, 45)
+        pool = " ".join(some).split()
+        return rnd.choice([
+            lambda: rnd.choice([", ", " | ", "; "]).join(rnd.choice(some) for _ in range(k)), lambda: "\n".join(rnd.choice(some) for _ in range(k)), lambda: " ".join(rnd.choice(pool) for _ in range(4 * k)),
+            lambda: rnd.choice([", ", " / ", " · "]).join(code() for _ in range(k)), lambda: " ".join("#" + rnd.choice(pool) for _ in range(k)), lambda: "\n".join(url() for _ in range(k)),
+            lambda: " ".join(f'<a href="{url()}">{rnd.choice(phrases)}</a>' for _ in range(k)), lambda: "\n".join(f"- [{rnd.choice(phrases)}]({url()})" for _ in range(k)),
+        ])()
+
+    def fine():
+        parts = [prose() for _ in range(rnd.randint(1, 3))]
+        parts += rnd.sample([
+            "```\nfor x in datos:\n    y[x] = round(x * 2, 1)\nprint(y)\n```", "\n".join(f"{h:02d}:00 | {rnd.randint(1, 999)} | {rnd.random():.2f}" for h in range(8)), "\n".join(f"{i}. {sentence()}" for i in range(1, 6)), f"{sentence()[:-1]}: {url()}", f"[manual]({url()})",
+        ], rnd.randint(0, 2))
+        return "\n\n".join(parts)
+
+    out = []
+    for i in range(n):
+        bad = rnd.random() < 0.08
+        out.append((i, (f"{sentence()}\n" if rnd.random() < 0.3 else "") + spam() if bad else fine(), bad))
+    return out
+
+
+def test_training_finds_what_its_start_does_not(frame):
+    seen, held = planted(4000, 1), planted(3000, 2)
+    model = stuffing.train(stuffing.featured(frame("doc_id long, text string, s string, parte long", [(*r[:2], "x", 1) for r in seen])).cache())
+    feats = stuffing.featured(frame("doc_id long, text string", [r[:2] for r in held])).cache()
+    bad = {r[0] for r in held if r[2]}
+
+    def judged(m):
+        got = {r["doc_id"] for r in stuffing.labelled(feats, m).where("2 * listadas > palabras and elementos >= 6").collect()}
+        return len(got & bad) / len(bad), len(got & bad) / len(got)
+
+    before, after = judged(stuffing.Model()), judged(model)
+    assert after[0] >= 0.99 and after[1] >= 0.99 and before[0] < after[0] - 0.03
+
+
 def test_pages(frame):
-    rows = [(i, t, "x", 1) for i, t in enumerate(SPAM)] + [(100 + i, t, "x", 1) for i, t in enumerate(FINE)] + [(200 + i, PROSE.replace("lote", f"lote{i}"), "x", 1) for i in range(40)]
+    rows = [(i, t, "x", 1) for i, t in enumerate(SPAM)] + [(100 + i, t, "x", 1) for i, t in enumerate(FINE)] + [(1000 + i, t, "x", 1) for i, t, _ in planted(1500, 3)]
     rows += [(300, (PROSE + " ") * 3 + "\n" + " | ".join(["batería litio oferta"] * 8), "x", 1), (0, SPAM[0], "x", 1)]
-    got = sorted(r["doc_id"] for r in stuffing.pages(frame("doc_id long, text string, s string, parte long", rows)).where("relleno").collect())
+    got = sorted(r["doc_id"] for r in stuffing.pages(frame("doc_id long, text string, s string, parte long", rows)).where("relleno and doc_id < 1000").collect())
     assert got == [0, *range(len(SPAM))]
     assert stuffing.pages(frame("doc_id long, text string")).count() == 0
 
 
+def test_features_do_not_depend_on_the_grouping_of_pages(frame):
+    import numpy as np
+
+    texts = [t for _, t, _ in planted(120, 4)] + ["", "???", "ÑANDÚ \U0001f600 #x", "a" * 5000]
+    page, *whole = stuffing.features(texts)
+    for i, t in enumerate(texts):
+        one = stuffing.features([t])
+        for a, b in zip(one[1:], whole, strict=True):
+            assert np.array_equal(a, b[page == i])
+    got = {r["doc_id"]: r["s"] for r in stuffing.featured(frame("doc_id long, text string", list(enumerate(texts))), chars=900).collect()}
+    assert all(np.array_equal(got[i], whole[0][page == i]) for i in range(len(texts)))
+
+
 def test_viterbi_against_brute_force():
     import itertools
 
