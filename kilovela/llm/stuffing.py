@@ -1,7 +1,7 @@
 """Keyword-stuffed and link-list pages, by a hidden Markov model over lines.
 
 Each line with words becomes a vector of coarse features (share of its words in links, in tags, in short segments, in word
-pairs the page repeats; poverty of words in the line and in the page; numbers; code; length; how it ends). A hidden Markov
+pairs the page repeats; poverty of words; numbers; code; length; how it ends). A hidden Markov
 model with the states prose, data (code, tables, numbered values), link list, tag list, menu (separated search phrases,
 offers) and phrases (keywords without separators) labels the lines of a page; a page is flagged if over half of its words
 stand in lines of the last four states and these hold at least ``least`` items.
@@ -38,7 +38,7 @@ STATES = ("prosa", "datos", "enlaces", "etiquetas", "menu", "frases")
 LISTED = np.array([False, False, True, True, True, True])
 
 # Feature names with their numbers of values.
-FEATURES = {"enlace": 3, "etiqueta": 3, "repetido": 4, "corto": 3, "numero": 3, "codigo": 2, "largo": 3, "frase": 3, "pobre": 3, "pagina": 3, "enumera": 3}
+FEATURES = {"enlace": 3, "etiqueta": 3, "repetido": 4, "corto": 3, "numero": 3, "codigo": 2, "largo": 3, "frase": 3, "pobre": 3, "enumera": 3}
 SIZES = list(FEATURES.values())
 
 LINK = re.compile(r"<a\b[^>]*>.*?</a>|!?\[[^\]\n]*\]\([^)\s]*\)|(?:\b[a-z][a-z0-9+.-]*://|\bwww\.)[^\s<>\"')\]]+", re.I)
@@ -158,6 +158,8 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     segment = np.cumsum(stop)[w][~linked]
     _, seg_first, seg_of, seg_n = np.unique(segment, return_index=True, return_inverse=True, return_counts=True)
     short_word = seg_n[seg_of] <= 6
+    # a repeated phrase is a short segment, or part of a long one that says its words over and over; repeated sentences are neither
+    often[~linked] &= short_word | (2 * _distinct(seg_of, word[~linked], len(seg_n)) <= seg_n)[seg_of]
     seg_line = line[~linked][seg_first]
     per = lambda which: np.bincount(which, minlength=lines)
     free, short = per(line[~linked]), per(line[~linked][short_word])
@@ -175,11 +177,10 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     fw = np.maximum(first_word, 0)
     bullet = numbers[fw] & np.isin(codes[np.minimum(end[fw] + 1, total - 1)], (46, 41))
     poor = np.where(n >= 16, _distinct(line, word, lines) / np.sqrt(n1), 9.0)
-    page_poor = np.where(page_n >= 16, _distinct(page, word, len(texts)) / np.sqrt(np.maximum(page_n, 1)), 9.0)[page_of_line]
     repeated = part(often)
     f = (
         _bin(part(linked), 0.3, 0.6), _bin(part(tagged), 0.2, 0.6), _bin(repeated, 0.25, 0.5, 0.75), _bin(np.where(free > 0, short / np.maximum(free, 1), 1.0), 0.4, 0.8), _bin(part(numbers), 0.25, 0.5),
-        (in_block | ((symbols * 4 > n) & (links == 0))).astype(np.int64), _bin(n, 5, 15), np.where(bullet, 0, np.where(closes, 1, 2)), 2 - _bin(poor, 2.0, 3.0), 2 - _bin(page_poor, 2.0, 3.0), _bin(short_segments, 3, 8),
+        (in_block | ((symbols * 4 > n) & (links == 0))).astype(np.int64), _bin(n, 5, 15), np.where(bullet, 0, np.where(closes, 1, 2)), 2 - _bin(poor, 2.0, 3.0), _bin(short_segments, 3, 8),
     )
     packed = np.zeros(lines, dtype=np.int64)
     for x, size in zip(f, SIZES, strict=True):
