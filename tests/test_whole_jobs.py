@@ -1,11 +1,9 @@
 """Registered queries on small fixtures: the whole table is their input."""
 
 import datetime as dt
-import math
 import random
 
 import __spark_entry__ as entry
-from kilovela.llm import canonical, survivors
 from kilovela.operators import anomalies
 
 
@@ -77,17 +75,6 @@ def test_jumps_equal_brute_force_over_blocks(frame):
     assert jumps(frame, rows, 0.0) == sorted(want)
 
 
-def test_source_weights_count_unanimous_groups(frame):
-    ddl = "registro_id long, k string, version string, valor double, ingestion_timestamp timestamp"
-    rows = [(2 * k + i, f"k{k}", v, 1.0, None) for k in range(98) for i, v in enumerate(("TX1", "TX2"))]
-    rows += [(900, "x", "TXF", 5.0, None), (901, "x", "TXR", 5.0, None), (902, "x", "TX1", 6.0, None)]
-    rows += [(1000 + 2 * k + i, f"y{k}", v, 1.0, None) for k in range(50) for i, v in enumerate(("TXF", "TXR"))]
-    w = survivors.discover(survivors.claims(frame(ddl, rows), ["k"], "valor", "version", "ingestion_timestamp", "registro_id"))
-    # TX1 loses 1 of 99 groups, TX2 none of 98, TXF and TXR none of 51; TX3 claims nothing
-    want = {2: 2 / 101, 3: 1 / 100, survivors.TXF: 1 / 53, survivors.TXR: 1 / 53}
-    assert all(abs(w[i] + math.log(e)) < 1e-9 for i, e in want.items()) and w[4] == 1.0
-
-
 def test_completeness_covers_every_column(frame, spark, tmp_path):
     for name, t in (("completeness_profile_all", "documents"), ("approx_distinct", "generacion_real")):
         cols = spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").columns
@@ -95,17 +82,3 @@ def test_completeness_covers_every_column(frame, spark, tmp_path):
     frame("doc_id long, text string", [(1, " "), (2, None), (3, "a"), (3, "a")]).write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["columna"]: (r["filas"], r["nulos"], r["vacios"], r["distintos"]) for r in run(spark, "completeness_profile_all", tmp_path)}
     assert got == {"doc_id": (4, 0, 0, 3), "text": (4, 1, 1, 2)}
-
-
-def test_similar_name_beyond_the_first_cosines_is_found():
-    # the decoys share most n-grams with the value in another order, the right entry few but most letters in place
-    decoys = [(f"d{a}{b}", f"FGHJKABCDE{a}{b}") for a in "LMNPQR" for b in "LMNPQR"] + [("near", "ABCLMNPQRSTWZ")]
-    ix = canonical.Index([*decoys, ("right", "QBCDRFGHJS")])
-    q = canonical.normal("ABCDEFGHJK")
-    assert [i for _, i in ix.cosines(q)].index(-len(decoys)) >= 25
-    assert ix.match("ABCDEFGHJK")[0] == "right"
-    # an equally similar entry, however far down, makes it ambiguous
-    assert canonical.Index([*decoys, ("right", "QBCDRFGHJS"), ("other", "ZBCDTFGHJS")]).match("ABCDEFGHJK")[0] == canonical.UNKNOWN
-    # the beginning of a cut name
-    ix = canonical.Index([*decoys, ("right", "QBCDRFGHJKLMNPRSTWZLMNPRSTWZ")])
-    assert ix.match("ABCDEFGHJK.")[0] == "right"
