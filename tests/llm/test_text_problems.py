@@ -237,14 +237,46 @@ def test_automaton_against_brute_force(items, doc, least):
 
 def test_blocks_accents_and_long_text(frame):
     item = " ".join(f"palabra{i} número" for i in range(10))
-    long = "relleno " * 200_000 + item.replace("número", "NÚMERO") + " fin" * 1000
-    docs = frame("doc_id long, text string", [(1, long), (2, "nada")])
+    long = "relleno " * 200_000 + item.replace("número", "NÚMERO") + " fin" * 1000
+    docs = frame("doc_id long, text string", [(1, long), (2, "nada"), (1, long)])
     items = frame("item_id long, text string", [(1, "otra cosa"), (2, item)])
-    assert [tuple(r) for r in leakage.leaks(docs, items).collect()] == [(1, 2)]
-    assert len(list(leakage.automata(items, "item_id", "text", 12, block=1))) == 2
+    assert [tuple(r) for r in leakage.leaks(docs, items).collect()] == [(1, 2), (1, 2)]
+    assert len(list(leakage.automata(items, "item_id", "text", 12, block=1))) > 5
+    assert [tuple(r) for r in leakage.leaks(docs, items, block=13).collect()] == [(1, 2), (1, 2)]
     assert leakage.leaks(docs, frame("item_id long, text string")).count() == 0 and leakage.leaks(frame("doc_id long, text string"), items).count() == 0
 
 
+@given(st.text(alphabet="aÁñ\u0301\u0300 ßİ.,Z_\n한é😀", max_size=40))
+@settings(max_examples=300, deadline=None)
+def test_placed_words_are_the_words(t):
+    ws, at = leakage.placed(t)
+    assert ws == leakage.words(t) and all(leakage.words(t[a:b]) == [w] for w, (a, b) in zip(ws, at, strict=True))
+
+
+def test_scrub_is_the_same_in_any_blocks_and_equals_brute_force(frame):
+    rnd = random.Random(12)
+    word = lambda: rnd.choice(["uno", "dos", "ñandú", "n\u0303u", "Él", "cinco"])
+    items = [(i, " ".join(word() for _ in range(rnd.randint(6, 25)))) for i in range(25)]
+    docs = [(0, "\u0301 " + items[0][1] + " fin")]
+    for d in range(1, 80):
+        t = [word() for _ in range(rnd.randint(10, 60))]
+        for _ in range(2):
+            w = items[rnd.randrange(25)][1].split()
+            t[5:5] = w[rnd.randint(0, 5) :]
+        docs.append((d, rnd.choice([" ", ", ", " \u0301 "]).join(t)))
+    df, it, want = frame("doc_id long, text string", docs), frame("item_id long, text string", items), {}
+    grams = {tuple(w[i : i + 6]) for w in (leakage.words(t) for _, t in items) for i in range(len(w) - 5)}
+    for d, t in docs:
+        ws = leakage.words(t)
+        gone = {k for i in range(len(ws) - 5) if tuple(ws[i : i + 6]) in grams for k in range(i, i + 6)}
+        if gone:
+            want[d] = (len(ws), len(gone), None if len(gone) > 0.8 * len(ws) else [w for k, w in enumerate(ws) if k not in gone])
+    for block in (60, 20_000):
+        got = leakage.scrub(df, it, least=6, max_share=0.8, block=block).collect()
+        assert {r["doc_id"]: (r["palabras"], r["filtradas"], None if r["texto"] is None else leakage.words(r["texto"])) for r in got} == want
+    assert len({tuple(sorted((r["doc_id"], r["texto"] or "") for r in leakage.scrub(df, it, least=6, block=b).collect())) for b in (60, 20_000)}) == 1
+
+
 def test_scrub(frame):
     item = " ".join(f"w{i}" for i in range(30))
     r = leakage.scrub(frame("doc_id long, text string", [(1, "Antes. " + " ".join(f"w{i}" for i in range(13)) + ", después " + "x " * 30), (2, item), (3, "nada")]), frame("item_id long, text string", [(5, item)])).orderBy("doc_id").collect()
