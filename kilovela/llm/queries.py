@@ -16,7 +16,7 @@ GEN_KEYS = ["codigo_variable", "fecha_hora", "codigo_duracion", "unidad_medida",
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    g = survivors.fuse(table(spark, d, "generacion_real"), GEN_KEYS, "valor", "version", "ingestion_timestamp", "registro_id", precedence=True)
+    g = survivors.by_order(table(spark, d, "generacion_real"), GEN_KEYS, "valor", "version", "ingestion_timestamp", "registro_id")
     return g.where(F.col("filas") >= 2).select("grupo_id", "registro_id")
 
 
@@ -25,6 +25,16 @@ def p5_survivors(spark: SparkSession, d: str) -> DataFrame:
     return survivors.survivors(table(spark, d, "generacion_real"), GEN_KEYS, fields, "version", "ingestion_timestamp", "registro_id")
 
 
+def p5_votes(spark: SparkSession, d: str) -> DataFrame:
+    """valor by estimated weights alone."""
+    g = survivors.survivors(table(spark, d, "generacion_real"), GEN_KEYS, {"valor": False}, "version", "ingestion_timestamp", "registro_id")
+    return g.select("grupo_id", "filas", "valor", "registro_valor", "apoyo_valor")
+
+
+def p5_weights(spark: SparkSession, d: str) -> DataFrame:
+    return survivors.lost_shares(table(spark, d, "generacion_real"), GEN_KEYS, ["valor", "planta_encontrada", "agente_encontrado"], "version", "ingestion_timestamp", "registro_id")
+
+
 TYPED = [("nombre_reservorio", "embalses", "codigo_embalse", "nombre_embalse"), ("nombre_planta", "plantas", "codigo_planta", "nombre_planta")]
 
 
@@ -66,7 +76,7 @@ def p10_pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    "p5_found": p5_found, "p5_survivors": p5_survivors, "p7_found": p7_found, "p7_values": p7_values, "p8_found": p8_found, "p8_scrubbed": p8_scrubbed,
+    "p5_found": p5_found, "p5_survivors": p5_survivors, "p5_votes": p5_votes, "p5_weights": p5_weights, "p7_found": p7_found, "p7_values": p7_values, "p8_found": p8_found, "p8_scrubbed": p8_scrubbed,
     "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_pages": p10_pages,
 }
 
@@ -75,7 +85,37 @@ def _words(c: str) -> str:
     return f"regexp_extract_all(lower(strip_accents({c})), '[\\p{{L}}\\p{{N}}]+')"
 
 
+_CLAIMS = """r AS (SELECT *, registro_id AS id, upper(trim(version)) AS ver, dense_rank() OVER (ORDER BY upper(trim(codigo_variable)), fecha_hora,
+        upper(trim(codigo_duracion)), upper(trim(unidad_medida)), upper(trim(codigo_agente)), upper(trim(codigo_planta))) AS g FROM generacion_real),
+    k AS (SELECT *, coalesce(CASE WHEN ver = 'TXF' THEN 4000000000000000 WHEN ver = 'TXR' THEN 3000000000000000 WHEN regexp_full_match(ver, 'TX[0-9]{1,15}') THEN substr(ver, 3)::BIGINT ELSE -1 END, -1) AS p FROM r),
+    s AS (SELECT g, min(id) AS grupo_id, count(*) AS filas FROM k GROUP BY g)"""
+_LATE = "(coalesce(ingestion_timestamp, TIMESTAMP '1000-01-01'), id)"
+
+
+def _truth(field: str, rounds: int = 8) -> str:
+    """Claims c_, and after the rounds of voting the weights w_ and winners x_ of a field, as common table expressions."""
+    f = field
+    out = [
+        f"c_{f} AS MATERIALIZED (SELECT g, p, arg_max({f}, {_LATE}) AS v, arg_max(id, {_LATE}) AS id FROM k WHERE {f} IS NOT NULL GROUP BY g, p)",
+        f"w0_{f} AS (SELECT DISTINCT p, 1.0::DOUBLE AS w FROM c_{f})",
+    ]
+    for i in range(rounds + 1):
+        best = "arg_max(v, (s, top))"
+        more = f", arg_max(id, (s, top)) AS id, max(s) / sum(s) AS parte" if i == rounds else ""
+        out.append(f"x{i}_{f} AS MATERIALIZED (SELECT g, {best} AS v{more} FROM (SELECT g, v, round(sum(w), 9) AS s, max(p) AS top, arg_max(id, p) AS id FROM c_{f} JOIN w{i}_{f} USING (p) GROUP BY g, v) GROUP BY g)")
+        if i < rounds:
+            out.append(f"w{i + 1}_{f} AS MATERIALIZED (SELECT p, -ln((count(*) FILTER (WHERE c.v <> x.v) + 1) / (count(*) + 2)) AS w FROM c_{f} c JOIN x{i}_{f} x USING (g) GROUP BY p)")
+    return ", ".join(out)
+
+
+_R = 8
 ORACLES: dict[str, str] = {
+    "p5_votes": f"WITH {_CLAIMS}, {_truth('valor')} SELECT grupo_id, filas, v AS valor, id AS registro_valor, round(parte, 6) AS apoyo_valor FROM s LEFT JOIN x{_R}_valor USING (g)",
+    "p5_weights": f"WITH {_CLAIMS}, {_truth('valor')}, {_truth('planta_encontrada')}, {_truth('agente_encontrado')} " + " UNION ALL ".join(f"SELECT '{f}' AS campo, p AS fuente, round(w, 6) AS peso FROM w{_R}_{f}" for f in ("valor", "planta_encontrada", "agente_encontrado")),
+    "p5_survivors": f"""WITH {_CLAIMS}, {_truth('planta_encontrada')}, {_truth('agente_encontrado')},
+    o AS (SELECT g, first(valor ORDER BY (valor IS NOT NULL) DESC, p DESC, ingestion_timestamp DESC NULLS LAST, id DESC) AS valor, first(id ORDER BY (valor IS NOT NULL) DESC, p DESC, ingestion_timestamp DESC NULLS LAST, id DESC) AS registro_valor FROM k GROUP BY g)
+    SELECT grupo_id, filas, valor, registro_valor, a.v AS planta_encontrada, a.id AS registro_planta_encontrada, round(a.parte, 6) AS apoyo_planta_encontrada, b.v AS agente_encontrado, b.id AS registro_agente_encontrado, round(b.parte, 6) AS apoyo_agente_encontrado
+    FROM s JOIN o USING (g) LEFT JOIN x{_R}_planta_encontrada a USING (g) LEFT JOIN x{_R}_agente_encontrado b USING (g)""",
     "p5_found": """
     WITH r AS (SELECT registro_id, valor, ingestion_timestamp, upper(trim(version)) AS ver, dense_rank() OVER (ORDER BY upper(trim(codigo_variable)), fecha_hora,
         upper(trim(codigo_duracion)), upper(trim(unidad_medida)), upper(trim(codigo_agente)), upper(trim(codigo_planta))) AS g FROM generacion_real),

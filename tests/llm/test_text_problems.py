@@ -33,7 +33,7 @@ def gen_rows(seed, n=400):
 
 def test_survivor_follows_the_precedence(frame):
     rows = gen_rows(3)
-    got = {(r["grupo_id"], r["registro_id"], r["filas"]) for r in survivors.fuse(frame(GEN, rows), ["k"], "valor", "version", "ingestion_timestamp", "registro_id", True).collect()}
+    got = {(r["grupo_id"], r["registro_id"], r["filas"]) for r in survivors.by_order(frame(GEN, rows), ["k"], "valor", "version", "ingestion_timestamp", "registro_id").collect()}
     by = defaultdict(list)
     for r in rows:
         by[None if r[1] is None else r[1].strip().upper()].append(r)
@@ -47,19 +47,63 @@ def test_votes_find_the_reliable_source(frame):
         for v, ok in (("TXF", True), ("TXR", True), ("TX1", k % 10 == 0), ("TX2", k % 9 == 0)):
             i += 1
             rows.append((i, f"k{k}", v, truth if ok else -truth - 1 - (1 if v == "TX2" and k % 2 else 0), None, True, 1, 2))
-    cl = survivors.claims(frame(GEN, rows), ["k"], "valor", "version", "ingestion_timestamp", "registro_id")
-    w = survivors.discover(cl)
-    assert min(w[survivors.TXF], w[survivors.TXR]) > max(w[2], w[3])
-    got = survivors.fuse(frame(GEN, rows), ["k"], "valor", "version", "ingestion_timestamp", "registro_id", False).collect()
+    w = weights(frame(GEN, rows))
+    assert min(w[TXF], w[TXR]) > max(w[1], w[2])
+    got = survivors.survivors(frame(GEN, rows), ["k"], {"valor": False}, "version", "ingestion_timestamp", "registro_id").collect()
     assert sum(r["valor"] == float((r["grupo_id"] - 1) // 4) for r in got) == 60
 
 
+def truth(rows, rounds=20):
+    """Brute force: weights per source, and the surviving value per group."""
+    last, n = {}, defaultdict(lambda: 0)
+    for r in rows:
+        g = None if r[1] is None else r[1].strip().upper()
+        n[g] += 1
+        if r[3] is not None and r[3] == r[3]:
+            src, key = order(r)[1], (r[4] or datetime.min, r[0])
+            if (g, src) not in last or key > last[g, src][0]:
+                last[g, src] = key, r[3]
+    w = {s: 1.0 for _, s in last}
+    for _ in range(rounds):
+        won, tally = {}, defaultdict(lambda: [0, 0])
+        for g in {g for g, _ in last}:
+            votes = defaultdict(lambda: [0.0, -2])
+            for (gg, s), (_, v) in last.items():
+                if gg == g:
+                    votes[v] = [votes[v][0] + w[s], max(votes[v][1], s)]
+            won[g] = max(votes, key=lambda v: (round(votes[v][0], 9), votes[v][1]))  # noqa: B023
+        for (g, s), (_, v) in last.items():
+            tally[s][0] += v != won[g]
+            tally[s][1] += 1
+        w = {s: -math.log((a + 1) / (b + 2)) for s, (a, b) in tally.items()}
+    return w, {g: won.get(g) for g in n}
+
+
+def weights(df, fields=("valor",)):
+    s = survivors.said(survivors.claims(df, ["k"], list(fields), "version", "ingestion_timestamp", "registro_id"), list(range(len(fields))))
+    return {r["source"]: r["w"] for r in survivors.discover(s).where("f = 0").collect()}
+
+
+TXF, TXR = 4 * 10**15, 3 * 10**15
+
+
+@pytest.mark.parametrize("seed", [3, 11])
+def test_votes_and_weights_equal_brute_force(frame, seed):
+    rows = gen_rows(seed, 300)
+    w, won = truth(rows)
+    got = weights(frame(GEN, rows))
+    assert got == pytest.approx(w)
+    keys = {min(r[0] for r in rows if (None if r[1] is None else r[1].strip().upper()) == g): v for g, v in won.items()}
+    assert {r["grupo_id"]: r["valor"] for r in survivors.survivors(frame(GEN, rows), ["k"], {"valor": False}, "version", "ingestion_timestamp", "registro_id").collect()} == keys
+
+
 def test_survivors_of_several_fields_and_of_nothing(frame):
     one = survivors.survivors(frame(GEN, gen_rows(5)), ["k"], {"valor": True, "flag": False}, "version", "ingestion_timestamp", "registro_id")
     assert one.count() == len({None if r[1] is None else r[1].strip().upper() for r in gen_rows(5)})
-    assert survivors.fuse(frame(GEN), ["k"], "valor", "version", "ingestion_timestamp", "registro_id", True).count() == 0
+    assert survivors.by_order(frame(GEN), ["k"], "valor", "version", "ingestion_timestamp", "registro_id").count() == 0
+    assert survivors.survivors(frame(GEN), ["k"], {"valor": False}, "version", "ingestion_timestamp", "registro_id").count() == 0
     rows = [(1, "a", "TX1", None, None, None, 1, 1), (2, "a", "TX2", float("nan"), None, None, 1, 1)]
-    r = survivors.fuse(frame(GEN, rows), ["k"], "valor", "version", "ingestion_timestamp", "registro_id", True).first()
+    r = survivors.by_order(frame(GEN, rows), ["k"], "valor", "version", "ingestion_timestamp", "registro_id").first()
     assert (r["grupo_id"], r["registro_id"], r["filas"], r["valor"]) == (1, 2, 2, None)
 
 
@@ -68,10 +112,10 @@ def test_source_weights_count_unanimous_groups(frame):
     rows = [(2 * k + i, f"k{k}", v, 1.0, None) for k in range(98) for i, v in enumerate(("TX1", "TX2"))]
     rows += [(900, "x", "TXF", 5.0, None), (901, "x", "TXR", 5.0, None), (902, "x", "TX1", 6.0, None)]
     rows += [(1000 + 2 * k + i, f"y{k}", v, 1.0, None) for k in range(50) for i, v in enumerate(("TXF", "TXR"))]
-    w = survivors.discover(survivors.claims(frame(ddl, rows), ["k"], "valor", "version", "ingestion_timestamp", "registro_id"))
-    # TX1 loses 1 of 99 groups, TX2 none of 98, TXF and TXR none of 51; TX3 claims nothing
-    want = {2: 2 / 101, 3: 1 / 100, survivors.TXF: 1 / 53, survivors.TXR: 1 / 53}
-    assert all(abs(w[i] + math.log(e)) < 1e-9 for i, e in want.items()) and w[4] == 1.0
+    w = weights(frame(ddl, rows))
+    # TX1 loses 1 of 99 groups, TX2 none of 98, TXF and TXR none of 51
+    want = {1: 2 / 101, 2: 1 / 100, TXF: 1 / 53, TXR: 1 / 53}
+    assert w == pytest.approx({s: -math.log(e) for s, e in want.items()})
 
 
 # --- 7 canonical ---
