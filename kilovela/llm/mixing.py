@@ -24,15 +24,18 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+from typing import TYPE_CHECKING
+
 import numpy as np
 import pandas as pd
-import tiktoken
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kilovela.session import stage
 
+if TYPE_CHECKING:
+    import tiktoken
+
 TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
 BUCKETS = 1 << 14
@@ -43,6 +46,8 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> tiktoken.Encoding:
+    import tiktoken  # here, so that the other problems do not need it
+
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
     return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -55,6 +60,8 @@ def n_tokens(texts: Iterator[str | None], path: str) -> list[int]:
 
 def _features(text: str) -> np.ndarray:
     """Hashed word buckets, each once."""
+    import xxhash
+
     return np.unique(np.fromiter((xxhash.xxh32_intdigest(w) % BUCKETS for w in set(WORD.findall(text.lower()))), dtype=np.int64))
 
 
@@ -97,12 +104,13 @@ class Classifier:
 
 
 def fit_classifier(docs: DataFrame, sources: list[str], doc_id: str, text: str, source: str, sample: int) -> Classifier:
-    """Classifier from a hash sample of at most ``sample`` labelled documents."""
-    labelled = docs.where(F.col(source).isin(sources) & F.col(text).isNotNull())
-    n = labelled.count()
-    if n > sample:
-        labelled = labelled.where(F.pmod(F.xxhash64(doc_id), F.lit(1_000_000)) < int(1_000_000 * sample / n))
-    rows = labelled.select(doc_id, text, source).limit(sample).toPandas().sort_values(doc_id)
+    """Classifier from the ``sample`` labelled documents of smallest hash, whatever their partitions."""
+    mixed = F.xxhash64(F.lit("muestra"), doc_id)
+    labelled = docs.where(F.col(source).isin(sources) & F.col(text).isNotNull()).select(doc_id, text, source, mixed.alias("_h"))
+    share = sample / max(labelled.count(), 1)
+    if share < 0.5:  # twice as many as needed are sorted, not all
+        labelled = labelled.where(F.col("_h").cast("double") / 2.0**63 < 4 * share - 1)
+    rows = labelled.orderBy("_h", doc_id).limit(sample).toPandas().sort_values(doc_id)
     return Classifier(sources, rows[text].tolist(), rows[source].tolist())
 
 
@@ -197,11 +205,14 @@ def mixture(docs: DataFrame, targets: DataFrame, total: float | None = None, **k
 
 
 def shares(mix: DataFrame, goals: list[tuple[str, float, int]]) -> DataFrame:
-    """Report per source: target, documents and tokens used (by assigned source), share reached, most copies of one document."""
+    """Report per source: target, documents used and their tokens by first source, the share of tokens by first source (``parte``) and
+    by membership (``parte_esperada``, what the rates are fitted to), and the most copies of one document."""
     spark = mix.sparkSession
-    want = spark.createDataFrame([(g[0], g[1], g[2]) for g in goals], "source string, objetivo double, max_repeats int")
-    used = mix.groupBy(F.col("asignada").alias("source")).agg(F.count_if(F.col("copias") > 0).alias("documentos"), F.sum(F.col("tokens") * F.col("copias")).alias("tokens_usados"), F.max("copias").alias("mas_copias"))
-    total = mix.agg(F.sum(F.col("tokens") * F.col("copias")).alias("_t"))
+    want = spark.createDataFrame([(g[0], g[1], g[2], i) for i, g in enumerate(goals)], "source string, objetivo double, max_repeats int, i int")
+    weight = F.col("tokens") * F.col("copias")
+    used = mix.groupBy(F.col("asignada").alias("source")).agg(F.count_if(F.col("copias") > 0).alias("documentos"), F.sum(weight).alias("tokens_usados"), F.max("copias").alias("mas_copias"))
+    total = mix.agg(F.sum(weight).alias("_t"), F.array(*[F.sum(weight * F.col("p")[i]) for i in range(len(goals))]).alias("_m"))
     j = want.join(used, "source", "left").crossJoin(F.broadcast(total))  # one row
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return j.select("source", "objetivo", zero("documentos").alias("documentos"), zero("tokens_usados").alias("tokens_usados"), F.when(F.col("_t") > 0, zero("tokens_usados") / F.col("_t")).otherwise(F.lit(0.0)).alias("parte"), zero("mas_copias").alias("mas_copias"), "max_repeats")
+    share = lambda x: F.when(F.col("_t") > 0, x / F.col("_t")).otherwise(F.lit(0.0))
+    return j.select("source", "objetivo", zero("documentos").alias("documentos"), zero("tokens_usados").alias("tokens_usados"), share(zero("tokens_usados")).alias("parte"), share(F.get("_m", F.col("i"))).alias("parte_esperada"), zero("mas_copias").alias("mas_copias"), "max_repeats")
