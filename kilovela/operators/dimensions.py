@@ -59,10 +59,10 @@ def scd2(df: DataFrame, entity: str, day: str, attrs: list[str]) -> DataFrame:
     return starts.select(F.col(entity), *attrs, "numero_version", F.col(day).alias("fecha_inicio"), F.coalesce(F.date_sub(nxt, 1), F.to_date(F.lit(OPEN_END))).alias("fecha_fin"), nxt.isNull().alias("es_actual"))
 
 
-def scd2_invariants(dim: DataFrame, entity: str) -> DataFrame:
+def scd2_invariants(dim: DataFrame, entity: str, tie: str | None = None) -> DataFrame:
     """Violations per rule: more or less than one current version, start after end, overlap, open end not current."""
     far = F.to_date(F.lit(OPEN_END))
-    w = Window.partitionBy(entity).orderBy("fecha_inicio", "fecha_fin")
+    w = Window.partitionBy(entity).orderBy("fecha_inicio", "fecha_fin", *([tie] if tie else []))
     x = dim.withColumn("_prev", F.max("fecha_fin").over(w.rowsBetween(Window.unboundedPreceding, -1)))
     rows = x.agg(F.count_if(F.col("fecha_inicio") > F.col("fecha_fin")).alias("rango_invalido"), F.count_if(F.col("fecha_inicio") <= F.col("_prev")).alias("traslape"), F.count_if(F.col("es_actual") != (F.col("fecha_fin") == far)).alias("fin_abierto"))
     cur = dim.groupBy(entity).agg(F.count_if("es_actual").alias("n")).agg(F.count_if(F.col("n") != 1).alias("actuales"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -115,15 +116,16 @@ class Table:
         if not h:
             raise FileNotFoundError(self.path)
         at = h[-1]["version"] if version is None else version
-        return self.spark.read.parquet(f"{self.path}/v{at:08d}")
+        return self.spark.read.parquet(f"{self.path}/{next(x['folder'] for x in h if x['version'] == at)}")
 
     def write(self, df: DataFrame, operation: str, counts: dict[str, int] | None = None) -> int:
         h = self.history()
         v = h[-1]["version"] + 1 if h else 0
-        df.write.mode("overwrite").parquet(f"{self.path}/v{v:08d}")
-        rows = self.spark.read.parquet(f"{self.path}/v{v:08d}").count()
-        line = json.dumps({"version": v, "timestamp": time.time(), "operation": operation, "rows": rows, "metrics": counts or {}})
-        tmp, log = self._p(f"{self.path}/_commits/.{v:08d}.tmp"), self._p(f"{self.path}/_commits/{v:08d}.json")
+        folder = f"v{v:08d}_{uuid.uuid4().hex}"  # two writers never share one; the commit line names the winner's
+        df.write.parquet(f"{self.path}/{folder}")
+        rows = self.spark.read.parquet(f"{self.path}/{folder}").count()
+        line = json.dumps({"version": v, "timestamp": time.time(), "operation": operation, "rows": rows, "folder": folder, "metrics": counts or {}})
+        tmp, log = self._p(f"{self.path}/_commits/.{folder}.tmp"), self._p(f"{self.path}/_commits/{v:08d}.json")
         out = self.fs.create(tmp, True)
         out.write(bytearray(line, "utf-8"))
         out.close()

@@ -14,19 +14,22 @@ POLICY = {"TXF": 10000, "TXR": 9000, "TX_NUMERIC": 100}
 
 
 def load_policy(df: DataFrame) -> dict[str, int]:
-    """Policy table (version_pattern, priority, multiplier, activo) as a dict; exactly the three known patterns."""
-    rows = df.where("activo").select("version_pattern", F.coalesce("priority", "multiplier").alias("p")).collect()  # three rows
-    got = {r["version_pattern"]: int(r["p"]) for r in rows}
-    if set(got) != set(POLICY):
-        raise ValueError(f"version policy must hold {sorted(POLICY)}, has {sorted(got)}")
-    return got
+    """Active rows of a policy table (version_pattern, priority, multiplier, activo) as a dict. Each known pattern must be there
+    exactly once and have a number."""
+    weight = F.coalesce("priority", "multiplier").cast("long")
+    per = df.where("activo").groupBy("version_pattern").agg(F.count("*").alias("n"), F.max(weight).alias("w")).limit(len(POLICY) + 1).collect()
+    wrong = [r["version_pattern"] for r in per if r["n"] != 1 or r["w"] is None or r["version_pattern"] not in POLICY]
+    if wrong or len(per) != len(POLICY):
+        raise ValueError(f"version policy needs one active number for each of {sorted(POLICY)}; found {sorted(str(r['version_pattern']) for r in per)}, of these not usable {wrong}")
+    return {r["version_pattern"]: r["w"] for r in per}
 
 
 def priority(version: str | Column, policy: dict[str, int] = POLICY) -> Column:
     """Priority of a version: unknown versions 0."""
     v = code(version)
-    n = F.regexp_extract(v, "^TX([0-9]{1,6})$", 1)
-    return F.when(v == "TXF", policy["TXF"]).when(v == "TXR", policy["TXR"]).when(n != "", n.try_cast("int") * policy["TX_NUMERIC"]).otherwise(F.lit(0)).cast("int")
+    n = F.regexp_extract(v, "^TX([0-9]+)$", 1)
+    numbered = F.least(n.try_cast("decimal(38,0)"), F.lit(10**15).cast("decimal(38,0)")).cast("long")  # beyond it all are alike
+    return F.when(v == "TXF", policy["TXF"]).when(v == "TXR", policy["TXR"]).when(n != "", F.coalesce(numbered, F.lit(10**15)) * policy["TX_NUMERIC"]).otherwise(F.lit(0)).cast("long")
 
 
 def lookup(value: Column, table: dict[str, int], default: int = 0) -> Column:

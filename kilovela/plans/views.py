@@ -101,10 +101,11 @@ def by_technology(plant_day: DataFrame) -> DataFrame:
     return plant_day.groupBy("fecha_key", blank_to("tipo_generacion", "SIN CLASIFICAR").alias("tipo_generacion")).agg(F.round(s("generacion_gwh"), 3).alias("generacion_gwh"), F.round(s("disponibilidad_gwh"), 3).alias("disponibilidad_gwh"), F.countDistinct("planta_key").alias("plantas"), F.round(100 * safe_ratio(s("generacion_gwh"), s("disponibilidad_gwh")), 2).alias("utilizacion_pct"))
 
 
-def stored_energy(fact: DataFrame, relations: DataFrame) -> DataFrame:
-    """Stored energy per plant and day with the reservoirs related on that day: how many, which, and whether one."""
+def stored_energy(fact: DataFrame, relations: DataFrame, approved: str = "validated") -> DataFrame:
+    """Stored energy per plant and day with the reservoirs related on that day by relations of the status ``approved``: how many,
+    which, and whether one."""
     days = fact.select("planta", "fecha").distinct()
-    ok = relations.where(F.col("activo") & F.col("permite_atribucion") & (F.lower(F.trim("estado_validacion")) == "validated") & ~F.col("requiere_revision_manual")).select("planta", "codigo_embalse", "valido_desde", "valido_hasta")
+    ok = relations.where(F.col("activo") & F.col("permite_atribucion") & (F.lower(F.trim("estado_validacion")) == approved.lower()) & ~F.col("requiere_revision_manual")).select("planta", "codigo_embalse", "valido_desde", "valido_hasta")
     r = validity(days, ok, "planta", "fecha", "valido_desde", "valido_hasta").groupBy("planta", "fecha").agg(F.countDistinct("codigo_embalse").alias("embalses"), F.concat_ws(", ", F.array_sort(F.collect_set("codigo_embalse"))).alias("codigos"))
     n = F.col("embalses")
     return fact.join(r, ["planta", "fecha"], "left").withColumn("estado_relacion", F.when(n == 1, "RELACION UNICA").when(n > 1, "RELACION MULTIPLE").otherwise("SIN RELACION"))
@@ -122,10 +123,13 @@ def stored_energy_daily(energy: DataFrame) -> DataFrame:
     return d.withColumns({"variacion_gwh": F.round(e - p, 6), "variacion_pct": F.round(F.when(p > 0, 100 * (e - p) / p), 6), "cobertura_pct": F.round(F.when(e > 0, 100 * F.col("directa_gwh") / e), 6)})
 
 
-def pipeline_health(runs: DataFrame) -> DataFrame:
-    """Success flag and moving success rate over the last ten runs. One row per run."""
+def pipeline_health(runs: DataFrame, since: Column | None = None) -> DataFrame:
+    """Success flag and moving success rate over the last ten runs, of the runs started at ``since`` or later (the view keeps 90 days,
+    which bounds the window)."""
     ok = F.when(F.col("status") == "SUCCESS", 1).otherwise(0)
     w = Window.orderBy("started_at", "run_id").rowsBetween(-9, 0)
+    if since is not None:
+        runs = runs.where(F.col("started_at") >= since)
     return runs.withColumn("run_exitoso", ok).withColumn("tasa_exito_10_pct", F.round(F.avg(ok).over(w) * 100, 6))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
 
@@ -57,9 +58,9 @@ def evolve(df: DataFrame, contract: dict[str, str]) -> DataFrame:
 
 
 def chunks(start: date, end: date, days: int) -> list[tuple[date, date]]:
-    """Contiguous inclusive windows of ``days`` days."""
-    if days < 1:
-        raise ValueError("days must be positive")
+    """Contiguous inclusive windows of ``days`` days, 1 to 366."""
+    if not 1 <= days <= 366:
+        raise ValueError("a window has 1 to 366 days")
     n = max(0, (end - start).days + 1)
     return [(a := start + timedelta(i), min(end, a + timedelta(days - 1))) for i in range(0, n, days)]
 
@@ -70,22 +71,25 @@ def chunk_frame(spark: SparkSession, start: date, end: date, days: int) -> DataF
     return d.select("desde", F.least(F.date_add("desde", days - 1), F.lit(end)).alias("hasta"))
 
 
-def resolve_window(mode: str, start: str, end: str, default: tuple[date, date]) -> tuple[date, date, str]:
-    """Execution window: BACKFILL needs both dates in order, INCREMENTAL takes the default, AUTO is BACKFILL if dates are given."""
-    m = (mode or "AUTO").strip().upper()
-    if m not in ("AUTO", "INCREMENTAL", "BACKFILL"):
-        raise ValueError(f"unknown mode {mode}")
-    given = bool(start and start.strip()), bool(end and end.strip())
-    if m == "AUTO":
-        m = "BACKFILL" if all(given) else "INCREMENTAL"
-    if m == "INCREMENTAL":
-        return (*default, m)
-    if not all(given):
-        raise ValueError("BACKFILL needs a start and an end date")
-    a, b = date.fromisoformat(start.strip()), date.fromisoformat(end.strip())
-    if a > b:
-        raise ValueError("start after end")
-    return a, b, m
+MODES = ("AUTO", "INCREMENTAL", "BACKFILL")
+
+
+def resolve_window(mode: str | None, start: str | None, end: str | None, default: tuple[date, date], default_mode: str = "INCREMENTAL", today: date | None = None) -> tuple[date, date, str]:
+    """Execution window (start, end, mode). AUTO stands for ``default_mode``. Only BACKFILL reads the dates: asked for by name it needs
+    both, as a default it falls back on the default window without them. Dates in the wrong order or in the future raise."""
+    asked, first, last = ((x or "").strip() for x in (mode, start, end))
+    asked = asked.upper() or "AUTO"
+    if asked not in MODES:
+        raise ValueError(f"mode {mode} is none of {MODES}")
+    use = default_mode if asked == "AUTO" else asked
+    if use == "BACKFILL" and first and last:
+        window = date.fromisoformat(first), date.fromisoformat(last)
+        if not window[0] <= window[1] <= (today or date.today()):
+            raise ValueError(f"window {first} to {last} is reversed or reaches into the future")
+        return (*window, use)
+    if asked == "BACKFILL":
+        raise ValueError("a backfill needs its first and its last day")
+    return (*default, use)
 
 
 def covered(asked: tuple[date, date], got: tuple[date | None, date | None], max_lag: int) -> bool:
@@ -93,9 +97,13 @@ def covered(asked: tuple[date, date], got: tuple[date | None, date | None], max_
     return got[0] is not None and got[1] is not None and got[0] <= asked[0] and got[1] >= asked[1] - timedelta(max_lag)
 
 
-def is_transient(e: Exception) -> bool:
-    status = getattr(getattr(e, "response", None), "status_code", None)
-    return status in TRANSIENT if status is not None else isinstance(e, (ConnectionError, TimeoutError))
+def is_transient(e: BaseException) -> bool:
+    """Whether repeating may help: by the reply's status where the error carries a reply, else a broken connection or a timeout."""
+    match e:
+        case object(response=object(status_code=int(code))):
+            return code in TRANSIENT
+        case _:
+            return isinstance(e, (ConnectionError, TimeoutError))
 
 
 def retry(call: Callable[[], object], times: int = 5, base: float = 5, cap: float = 60, sleep: Callable[[float], None] = time.sleep, jitter: Callable[[], float] = random.random) -> object:
@@ -121,7 +129,20 @@ class RangeReader(DataSourceReader):
         return [InputPartition(c) for c in chunks(self.start, self.end, self.days)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        return iter(list(retry(lambda: list(self.fetch(*partition.value)))))
+        """Rows as they come, none kept. After a transient error the window is fetched again and the rows already given are passed over,
+        so ``fetch`` must give the same rows in the same order."""
+        given = 0
+        for attempt in range(6):
+            try:
+                for k, row in enumerate(self.fetch(*partition.value)):
+                    if k >= given:
+                        given = k + 1
+                        yield row
+                return
+            except Exception as e:
+                if attempt == 5 or not is_transient(e):
+                    raise
+                time.sleep(min(60.0, 5 * 2.0**attempt) + random.random())
 
 
 def range_source(name: str, ddl: str, fetch: Callable[[date, date], Iterator[tuple]]) -> type[DataSource]:
@@ -155,25 +176,48 @@ def guard(df: DataFrame, when: str, not_before: date | None = None, today: date
 
 
 def publish_json(df: DataFrame, path: str, gzip: bool = True) -> int:
-    """Write to a staging folder, count what can be read back, then swap folders; returns the rows. The old folder goes only
-    after the new one has been counted."""
+    """Write to a folder of its own, count what can be read back, then point ``path/_current`` to it by one rename; returns the rows.
+    ``published`` tells the folder to read; a reader sees the old or the new one, never none or half of one."""
     spark = df.sparkSession
-    tmp = f"{path}._staging"
+    tmp = f"{path}/run_{uuid.uuid4().hex}"
     df.write.mode("overwrite").option("compression", "gzip" if gzip else "none").json(tmp)
     n = spark.read.schema(df.schema).json(tmp).count()
     jvm = spark.sparkContext._jvm
     p = lambda x: jvm.org.apache.hadoop.fs.Path(x)
     fs = p(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    old = p(f"{path}._old")
-    if fs.exists(p(path)):
-        fs.delete(old, True)
-        fs.rename(p(path), old)
-    if not fs.rename(p(tmp), p(path)):
-        raise RuntimeError(f"could not publish {path}")
-    fs.delete(old, True)
+    mark = p(f"{tmp}.mark")
+    out = fs.create(mark, True)
+    out.write(bytearray(tmp.rsplit("/", 1)[1], "utf-8"))
+    out.close()
+    # a numbered mark appears whole or not at all; the highest number is current
+    at = len(_marks(spark, path))
+    if not fs.rename(mark, p(f"{path}/_current_{at:08d}")):
+        raise RuntimeError(f"{path} was published by another writer at the same time")
     return n
 
 
+def _marks(spark: SparkSession, path: str) -> list[str]:
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    return sorted(x.getPath().toString() for x in fs.listStatus(folder) if x.getPath().getName().startswith("_current_"))
+
+
+def published(spark: SparkSession, path: str) -> str:
+    """Folder of the last publication."""
+    marks = _marks(spark, path)
+    if not marks:
+        raise FileNotFoundError(path)
+    jvm = spark.sparkContext._jvm
+    mark = jvm.org.apache.hadoop.fs.Path(marks[-1])
+    stream = mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(mark)
+    name = bytes(stream.readAllBytes()).decode()
+    stream.close()
+    return f"{path}/{name}"
+
+
 def literal(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     """A small literal relation."""
     return spark.createDataFrame(rows, ddl)

@@ -15,13 +15,13 @@ def test_missing_days_of_all_orders(frame, spark, tmp_path):
     # customers 1 and 10 (1 modulo 9) have the 1st and 6th only; the others fill all but the 4th
     days = [(1, 1), (2, 2), (3, 3), (5, 5), (10, 6)]
     frame("o_custkey long, o_orderdate timestamp", [(c, dt.datetime(2024, 1, d)) for c, d in days] + [(4, None)]).write.parquet(f"{tmp_path}/orders.parquet")
-    assert [r["fecha"] for r in run(spark, "missing_days_all", tmp_path)] == [dt.date(2024, 1, 4)]
+    assert [r["fecha"] for r in run(spark, "missing_days", tmp_path)] == [dt.date(2024, 1, 4)]
 
 
 def test_json_round_trip_of_all_event_types(frame, spark, tmp_path):
     rows = [(1, "click", 1.5), (2, "view", 2.0), (3, None, None)]
     frame("event_id long, event_type string, value double", rows).write.parquet(f"{tmp_path}/events.parquet")
-    assert sorted(map(tuple, run(spark, "json_round_trip_all", tmp_path))) == rows
+    assert sorted(map(tuple, run(spark, "json_round_trip", tmp_path))) == rows
 
 
 def test_coverage_and_drift_of_all_readings(frame, spark, tmp_path):
@@ -29,7 +29,7 @@ def test_coverage_and_drift_of_all_readings(frame, spark, tmp_path):
     hours = {10: range(24), 11: range(24), 12: range(24), 14: range(23), 15: [*range(24)] * 3}
     rows = [(a, dt.datetime(2024, 3, d, h)) for d, hs in hours.items() for h in hs for a in (7, 1)] + [(1, None)]
     frame("agente_key long, fecha_hora timestamp", rows).write.parquet(f"{tmp_path}/fact_demanda_real.parquet")
-    (r,) = run(spark, "coverage_and_drift_all", tmp_path)
+    (r,) = run(spark, "coverage_and_drift", tmp_path)
     assert (r["dias"], r["dias_incompletos"], r["dias_atipicos"], r["mediana"]) == (6, 2, 2, 48)
 
 
@@ -39,7 +39,7 @@ def test_key_profile_counts_blank_and_null_key_parts(frame, spark, tmp_path):
     rows = [(*key, v, t, x) for v, x in versions] + [("GReal", "PT1H", "kWh", None, "P", "TXF", t, 1.0), (*key, "TXF", None, 1.0)]
     ddl = "codigo_variable string, codigo_duracion string, unidad_medida string, codigo_agente string, codigo_planta string, version string, fecha_hora timestamp, valor double"
     frame(ddl, rows).write.parquet(f"{tmp_path}/generacion_real.parquet")
-    (r,) = run(spark, "invalid_key_profile_all", tmp_path)
+    (r,) = run(spark, "invalid_key_profile", tmp_path)
     assert (r["filas"], r["claves_invalidas"], r["claves"], r["duplicados"], r["negativos"]) == (7, 5, 5, 2, 2)
 
 
@@ -76,9 +76,9 @@ def test_jumps_equal_brute_force_over_blocks(frame):
 
 
 def test_completeness_covers_every_column(frame, spark, tmp_path):
-    for name, t in (("completeness_profile_all", "documents"), ("approx_distinct", "generacion_real")):
+    for name, t in (("completeness_profile", "documents"), ("approx_distinct", "generacion_real")):
         cols = spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet").columns
         assert sorted(r["columna"] for r in run(spark, name, "/root/testdata/sf0.001")) == sorted(cols)
     frame("doc_id long, text string", [(1, " "), (2, None), (3, "a"), (3, "a")]).write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r["columna"]: (r["filas"], r["nulos"], r["vacios"], r["distintos"]) for r in run(spark, "completeness_profile_all", tmp_path)}
+    got = {r["columna"]: (r["filas"], r["nulos"], r["vacios"], r["distintos"]) for r in run(spark, "completeness_profile", tmp_path)}
     assert got == {"doc_id": (4, 0, 0, 3), "text": (4, 1, 1, 2)}
