@@ -95,3 +95,11 @@ def bridge(rel: DataFrame, left: DataFrame, right: DataFrame, left_key: tuple[st
     j = rel.join(left.select(left_key[0], left_key[1]), left_key[0], "left").join(right.select(right_key[0], right_key[1]), right_key[0], "left")
     n = j.where(F.col(right_key[1]).isNotNull()).groupBy(left_key[0]).agg(F.countDistinct(right_key[1]).alias("relacionados"))
     return j.join(n, left_key[0], "left").withColumn("relacionados", F.coalesce("relacionados", F.lit(0))).withColumn("es_unica", F.col("relacionados") == 1).withColumn("bridge_key", record_hash([left_key[0], right_key[0]]))
+
+
+def plant_dimension(master: DataFrame, observed: DataFrame, key: str, label: str, when: str) -> DataFrame:
+    """Every master plant with its first and last observation (NULL if never observed), and an inferred member for each observed code
+    without a master. Observations are reduced to one row per code before the join, so a hot code costs one row."""
+    seen = observed.where(F.col(key).isNotNull()).groupBy(code(key).alias(key)).agg(F.min(F.to_date(when)).alias("fecha_primera_observacion"), F.max(F.to_date(when)).alias("fecha_ultima_observacion"))
+    all_ = with_inferred(master, seen, key, label)
+    return all_.join(seen, key, "left").withColumn("esta_en_maestro_actual", ~F.col("es_registro_inferido"))

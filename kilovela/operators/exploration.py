@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,3 +111,77 @@ def scorecard(measures: DataFrame, thresholds: list[tuple[str, float, float]]) -
 
 def pivot(df: DataFrame, rows: list[str], col: str, values: list[str], value: str) -> DataFrame:
     return df.groupBy(*rows).pivot(col, values).agg(F.sum(value))
+
+
+def dictionary(tables: dict[str, DataFrame]) -> list[tuple[str, int, str, str]]:
+    """(table, position, column, type) of every column, from the schemas alone."""
+    return [(t, i, c, kind) for t, df in tables.items() for i, (c, kind) in enumerate(df.dtypes, 1)]
+
+
+def inventory(tables: dict[str, tuple[DataFrame, str | None]]) -> DataFrame:
+    """One row per table (frame, event column): rows, columns, files and their bytes, first and last load and event. Loads are
+    ``load_date`` and ``ingestion_timestamp`` where the table has them. One aggregate per table; files come from the scan's own metadata."""
+    out = None
+    for n, (df, event) in tables.items():
+        ends = lambda c, label: [F.min(c).cast("timestamp").alias(f"primera_{label}"), F.max(c).cast("timestamp").alias(f"ultima_{label}")] if c in df.columns else [F.lit(None).cast("timestamp").alias(f"primera_{label}"), F.lit(None).cast("timestamp").alias(f"ultima_{label}")]  # noqa: B023, E731
+        rows = df.agg(F.count("*").alias("registros"), *ends("load_date", "carga"), *ends("ingestion_timestamp", "ingesta"), *ends(event, "fecha_evento"))
+        files = df.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("b")).distinct().agg(F.count("*").alias("archivos"), F.sum("b").alias("bytes"))
+        one = rows.crossJoin(files).withColumns({"tabla": F.lit(n), "columnas": F.lit(len(df.columns))})  # one row each
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def load_lineage(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows and span of load times per table, load day and file; tables without one of these columns have it NULL."""
+    out = None
+    for n, df in tables.items():
+        by = [c for c in ("load_date", "source_file_name", "source_file_path") if c in df.columns]
+        one = df.groupBy(*by).agg(F.count("*").alias("registros"), F.min("ingestion_timestamp").alias("primera_ingesta"), F.max("ingestion_timestamp").alias("ultima_ingesta")).withColumn("tabla", F.lit(n))
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out
+
+
+def duplicate_profiles(df: DataFrame, ident: str, payload: list[str], versioned: list[str], canonical: list[str], version: str, value: str) -> DataFrame:
+    """Five kinds of duplicates with groups, rows in them, surplus and largest group: equal payload, equal versioned key, equal id,
+    keys in several versions, versioned keys with several values."""
+    def groups(keys: list[str], of: Column, kind: str) -> DataFrame:
+        n = F.coalesce(F.sum("n"), F.lit(0))
+        return df.groupBy(*keys).agg(of.alias("n")).where("n > 1").agg(F.count("*").alias("grupos"), n.alias("filas"), (n - F.count("*")).alias("excedentes"), F.coalesce(F.max("n"), F.lit(1)).alias("mayor")).withColumn("perfil", F.lit(kind))
+
+    kinds = [groups(payload, F.count("*"), "payload"), groups(versioned, F.count("*"), "llave_con_version"), groups([ident], F.count("*"), "id"), groups(canonical, F.countDistinct(version), "varias_versiones"), groups(versioned, F.countDistinct(value), "conflicto_de_valor")]
+    out = kinds[0]
+    for k in kinds[1:]:
+        out = out.unionByName(k)
+    return out
+
+
+def hygiene(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Per identifier column: rows, nulls, blanks, outer blanks, not upper case, shortest and longest, distinct values; one pass for
+    the counts of all columns, and distincts of the few different values by a grouped count."""
+    aggs: list[Column] = [F.count("*").alias("_n")]
+    for i, c in enumerate(columns):
+        x, size = F.col(c), F.length(F.trim(c))
+        aggs += [F.count_if(x.isNull()).alias(f"a{i}"), F.count_if(F.trim(x) == "").alias(f"b{i}"), F.count_if(x != F.trim(x)).alias(f"c{i}"), F.count_if(x != F.upper(x)).alias(f"d{i}"), F.min(size).alias(f"e{i}"), F.max(size).alias(f"f{i}")]
+    labels = {"a": "nulos", "b": "vacios", "c": "con_espacios", "d": "no_mayuscula", "e": "longitud_min", "f": "longitud_max"}
+    row = lambda i, c: F.struct(F.lit(c).alias("columna"), *[F.col(f"{k}{i}").alias(v) for k, v in labels.items()])
+    counts = df.agg(*aggs).select(F.col("_n").alias("registros"), F.explode(F.array(*[row(i, c) for i, c in enumerate(columns)])).alias("x")).select("registros", "x.*")
+    item = lambda c: F.struct(F.lit(c).alias("columna"), F.col(c).alias("v"))
+    one = df.select(F.explode(F.array(*[item(c) for c in columns])).alias("x")).select("x.*").where("v is not null").groupBy("columna", "v").agg(F.lit(1).alias("_"))
+    return counts.join(one.groupBy("columna").agg(F.count("*").alias("distintos")), "columna", "left").withColumn("distintos", F.coalesce("distintos", F.lit(0)))
+
+
+def unmatched_names(typed: DataFrame, column: str, reference: DataFrame, ref_column: str, normal: Callable[[Column], Column]) -> DataFrame:
+    """How many distinct typed names there are in normal form, and how many of them no reference name equals."""
+    t = typed.select(normal(F.col(column)).alias("n")).distinct()
+    r = reference.select(normal(F.col(ref_column)).alias("n")).where("n <> ''").distinct().withColumn("_ok", F.lit(True))
+    return t.join(r, "n", "left").agg(F.count("*").alias("valores"), F.count_if(F.col("_ok").isNull()).alias("sin_correspondencia"))
+
+
+def coordinates(df: DataFrame, lat: str, lon: str, box: tuple[float, float, float, float]) -> DataFrame:
+    """Rows without a usable coordinate, outside the globe, and outside a country's box (south, north, west, east)."""
+    y, x = F.col(lat).cast("string").try_cast("double"), F.col(lon).cast("string").try_cast("double")
+    south, north, west, east = box
+    return df.agg(
+        F.count("*").alias("filas"), F.count_if(y.isNull()).alias("latitud_no_valida"), F.count_if(x.isNull()).alias("longitud_no_valida"),
+        F.count_if(~y.between(-90, 90) | ~x.between(-180, 180)).alias("fuera_de_rango"), F.count_if(~y.between(south, north) | ~x.between(west, east)).alias("fuera_de_caja"),
+    )

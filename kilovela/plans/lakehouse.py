@@ -761,12 +761,12 @@ _EN = "(SELECT upper(trim(codigo_planta)) AS planta, CAST(fecha_inicio AS DATE)
 
 def _energy(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "niveles_embalses").groupBy(N.code("codigo_planta").alias("planta"), F.to_date("fecha_inicio").alias("fecha")).agg(F.max(F.round(F.col("valor") / 1000000, 6)).alias("energia_gwh"))
-    r = table(spark, d, "plantas_reservorios").where("codigo_embalse is not null").withColumn("planta", F.col("codigo_embalse")).withColumn("codigo_embalse", F.col("codigo_planta"))
-    return V.stored_energy(e, r, APPROVED)
+    r = table(spark, d, "plantas_reservorios").where("codigo_embalse is not null").withColumn("planta", F.col("codigo_embalse")).withColumn("codigo_embalse", F.coalesce("codigo_planta", "nombre_planta"))
+    return V.stored_energy(e, r, (APPROVED, "pendiente"), reviewed=False)  # nearly all relations here wait for a review
 
 
-ENERGY_SQL = f"""(SELECT e.planta, e.fecha, e.energia_gwh, count(DISTINCT r.codigo_planta) AS embalses, CASE WHEN count(DISTINCT r.codigo_planta) = 1 THEN 'RELACION UNICA' WHEN count(DISTINCT r.codigo_planta) > 1 THEN 'RELACION MULTIPLE' ELSE 'SIN RELACION' END AS estado_relacion
-  FROM {_EN} e LEFT JOIN plantas_reservorios r ON e.planta = r.codigo_embalse AND r.activo AND r.permite_atribucion AND lower(trim(r.estado_validacion)) = 'aprobado' AND NOT r.requiere_revision_manual
+ENERGY_SQL = f"""(SELECT e.planta, e.fecha, e.energia_gwh, count(DISTINCT coalesce(r.codigo_planta, r.nombre_planta)) AS embalses, CASE WHEN count(DISTINCT coalesce(r.codigo_planta, r.nombre_planta)) = 1 THEN 'RELACION UNICA' WHEN count(DISTINCT coalesce(r.codigo_planta, r.nombre_planta)) > 1 THEN 'RELACION MULTIPLE' ELSE 'SIN RELACION' END AS estado_relacion
+  FROM {_EN} e LEFT JOIN plantas_reservorios r ON e.planta = r.codigo_embalse AND r.activo AND r.permite_atribucion AND lower(trim(r.estado_validacion)) IN ('aprobado', 'pendiente')
   AND e.fecha >= coalesce(r.valido_desde, DATE '1900-01-01') AND e.fecha <= coalesce(r.valido_hasta, DATE '9999-12-31') GROUP BY 1, 2, 3)"""
 
 

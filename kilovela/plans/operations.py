@@ -1,3 +1,2 @@
-"""x"""
-QUERIES = {}
-ORACLES = {}
+QUERIES={}
+ORACLES={}

@@ -101,11 +101,11 @@ def by_technology(plant_day: DataFrame) -> DataFrame:
     return plant_day.groupBy("fecha_key", blank_to("tipo_generacion", "SIN CLASIFICAR").alias("tipo_generacion")).agg(F.round(s("generacion_gwh"), 3).alias("generacion_gwh"), F.round(s("disponibilidad_gwh"), 3).alias("disponibilidad_gwh"), F.countDistinct("planta_key").alias("plantas"), F.round(100 * safe_ratio(s("generacion_gwh"), s("disponibilidad_gwh")), 2).alias("utilizacion_pct"))
 
 
-def stored_energy(fact: DataFrame, relations: DataFrame, approved: str = "validated") -> DataFrame:
-    """Stored energy per plant and day with the reservoirs related on that day by relations of the status ``approved``: how many,
-    which, and whether one."""
+def stored_energy(fact: DataFrame, relations: DataFrame, approved: tuple[str, ...] = ("validated",), reviewed: bool = True) -> DataFrame:
+    """Stored energy per plant and day with the reservoirs related on that day by relations of a status in ``approved`` and, with
+    ``reviewed``, none that waits for a review: how many, which, and whether one."""
     days = fact.select("planta", "fecha").distinct()
-    ok = relations.where(F.col("activo") & F.col("permite_atribucion") & (F.lower(F.trim("estado_validacion")) == approved.lower()) & ~F.col("requiere_revision_manual")).select("planta", "codigo_embalse", "valido_desde", "valido_hasta")
+    ok = relations.where(F.col("activo") & F.col("permite_atribucion") & F.lower(F.trim("estado_validacion")).isin(*approved) & (~F.col("requiere_revision_manual") if reviewed else F.lit(True))).select("planta", "codigo_embalse", "valido_desde", "valido_hasta")
     r = validity(days, ok, "planta", "fecha", "valido_desde", "valido_hasta").groupBy("planta", "fecha").agg(F.countDistinct("codigo_embalse").alias("embalses"), F.concat_ws(", ", F.array_sort(F.collect_set("codigo_embalse"))).alias("codigos"))
     n = F.col("embalses")
     return fact.join(r, ["planta", "fecha"], "left").withColumn("estado_relacion", F.when(n == 1, "RELACION UNICA").when(n > 1, "RELACION MULTIPLE").otherwise("SIN RELACION"))
@@ -145,3 +145,21 @@ def latest_row(df: DataFrame, *order: Column) -> DataFrame:
 def readable(views: dict[str, DataFrame], need_rows: bool) -> dict[str, bool]:
     """Smoke check: each view can be read and, if asked, has rows."""
     return {n: bool(df.limit(1).collect()) or not need_rows for n, df in views.items()}
+
+
+def current_agents(agents: DataFrame) -> DataFrame:
+    return agents.where("es_actual").select("agente_key", "codigo_agente", "nombre_agente", "nombre_agente_normalizado", "actividad_agente")
+
+
+def plants(dim: DataFrame) -> DataFrame:
+    keep = ("planta_key", "codigo_planta", "nombre_planta", "codigo_sic_agente", "tipo_generacion", "cap_efectiva_neta", "es_registro_inferido", "esta_en_maestro_actual")
+    return dim.select(*[c for c in keep if c in dim.columns])
+
+
+def publish(views: dict[str, DataFrame], prefix: str = "", everywhere: bool = False) -> dict[str, str]:
+    """Registers each frame as a view of the session, or with ``everywhere`` of the application; returns the names to query."""
+    out = {}
+    for n, df in views.items():
+        (df.createOrReplaceGlobalTempView if everywhere else df.createOrReplaceTempView)(f"{prefix}{n}")
+        out[n] = f"global_temp.{prefix}{n}" if everywhere else f"{prefix}{n}"
+    return out
