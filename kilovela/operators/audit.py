@@ -31,7 +31,7 @@ def runs_finished(runs: DataFrame, tasks: DataFrame, now: Column) -> DataFrame:
     return j.select(
         *[c for c in runs.columns if c not in ("status", "finished_at", "duration_seconds", "tasks_total", "tasks_succeeded", "tasks_failed")],
         F.when(close, F.when(F.col("_bad") > 0, "FAILED").otherwise(DONE)).otherwise(F.col("status")).alias("status"), end.alias("finished_at"),
-        F.when(close, (F.unix_micros("_end") - F.unix_micros("started_at")) / 1e6).otherwise(F.col("duration_seconds")).alias("duration_seconds"),
+        F.when(close, (F.unix_micros(F.col("_end").cast("timestamp")) - F.unix_micros(F.col("started_at").cast("timestamp"))) / 1e6).otherwise(F.col("duration_seconds")).alias("duration_seconds"),
         F.coalesce("_all", F.lit(0)).alias("tasks_total"), F.coalesce("_ok", F.lit(0)).alias("tasks_succeeded"), F.coalesce("_bad", F.lit(0)).alias("tasks_failed"),
     )
 

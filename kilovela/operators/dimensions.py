@@ -103,3 +103,8 @@ def plant_dimension(master: DataFrame, observed: DataFrame, key: str, label: str
     seen = observed.where(F.col(key).isNotNull()).groupBy(code(key).alias(key)).agg(F.min(F.to_date(when)).alias("fecha_primera_observacion"), F.max(F.to_date(when)).alias("fecha_ultima_observacion"))
     all_ = with_inferred(master, seen, key, label)
     return all_.join(seen, key, "left").withColumn("esta_en_maestro_actual", ~F.col("es_registro_inferido"))
+
+
+def several_states(df: DataFrame, by: list[str], attrs: list[str]) -> DataFrame:
+    """Keys with more than one state (NULL is a state of its own): states are grouped first, then counted."""
+    return df.groupBy(*by, *attrs).agg(F.lit(1).alias("_")).groupBy(*by).agg(F.count("*").alias("estados")).where("estados > 1")

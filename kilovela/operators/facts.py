@@ -41,9 +41,10 @@ def canonical_rows(df: DataFrame, spec: FactSpec, policy: dict[str, int] = POLIC
     return canonical(d, [*spec.key, spec.when] if spec.when not in spec.key else list(spec.key), spec.version, list(spec.recency), policy, spec.tie)
 
 
-def build(df: DataFrame, spec: FactSpec, plants: DataFrame | None = None, agents: DataFrame | None = None) -> DataFrame:
+def build(df: DataFrame, spec: FactSpec, plants: DataFrame | None = None, agents: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """The fact: calendar and period keys from the time, plant key by code, agent key by code and validity, SHA-256 key over the
-    business key, measure as decimal(24,6), selected version and its priority. Plant and agent dimensions are optional."""
+    business key, measure as decimal(24,6), selected version and its priority. Plant and agent dimensions are optional; natural codes
+    named in ``keep`` stay."""
     f = canonical_rows(df, spec)
     day = F.to_date(spec.when)
     f = f.withColumn("_day", day)
@@ -54,7 +55,7 @@ def build(df: DataFrame, spec: FactSpec, plants: DataFrame | None = None, agents
     keys = [c for c, x in (("planta_key", plants), ("agente_key", agents)) if x is not None]
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (*spec.key, spec.when)]
     return f.select(
-        F.sha2(F.concat_ws("||", *parts), 256).alias(f"{spec.name}_key"), F.date_format("_day", "yyyyMMdd").cast("int").alias("fecha_key"), (F.hour(spec.when) + 1).cast("int").alias("periodo_key"), *keys, spec.when,
+        F.sha2(F.concat_ws("||", *parts), 256).alias(f"{spec.name}_key"), F.date_format("_day", "yyyyMMdd").cast("int").alias("fecha_key"), (F.hour(spec.when) + 1).cast("int").alias("periodo_key"), *keys, *keep, spec.when,
         F.col(spec.measure).try_cast("decimal(24,6)").alias(spec.measure), F.col(spec.version).alias("version_seleccionada"), "prioridad_version",
     )
 

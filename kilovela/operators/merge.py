@@ -158,3 +158,9 @@ def deduplicated_upsert(order: list[Column], keys: list[str]) -> Callable[[DataF
     from kilovela.operators.versioning import latest
 
     return lambda df: latest(df, keys, order)
+
+
+def update_where(df: DataFrame, where: Column, values: dict[str, Column]) -> DataFrame:
+    """UPDATE ... SET ... WHERE: the columns of ``values`` change where the condition is true; where it is NULL nothing does."""
+    kinds = dict(df.dtypes)
+    return df.withColumns({c: F.when(where, v).otherwise(F.col(c)).cast(kinds[c]) for c, v in values.items()})

@@ -71,3 +71,16 @@ def revision_range(df: DataFrame, keys: list[str], value: str, version: str) ->
     """Per key with several versions: how many, the value range and the sorted version labels."""
     g = df.groupBy(*keys).agg(F.countDistinct(version).alias("versiones"), F.min(value).alias("minimo"), F.max(value).alias("maximo"), F.concat_ws(",", F.array_sort(F.collect_set(version))).alias("lista"))
     return g.where("versiones > 1").withColumn("rango", F.col("maximo") - F.col("minimo"))
+
+
+def new_rows_plain(incoming: DataFrame, existing: DataFrame, cols: list[str]) -> DataFrame:
+    """As ``new_rows`` by plain equality: a row with a NULL among ``cols`` equals no row and is new each time."""
+    return incoming.dropDuplicates(cols).join(existing.select(*cols), cols, "left_anti")
+
+
+def append_counts(incoming: DataFrame, existing: DataFrame, cols: list[str]) -> DataFrame:
+    """One row: rows received, distinct ones, and those absent from ``existing``, NULLs equal to NULLs; one aggregate over both sides."""
+    flag = lambda df, x: df.select(*cols, F.lit(x).alias("_in"))
+    g = flag(incoming, 1).unionByName(flag(existing, 0)).groupBy(*cols).agg(F.sum("_in").alias("n"), F.count("*").alias("all"))
+    s = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return g.agg(s("n").alias("recibidas"), F.count_if(F.col("n") > 0).alias("unicas"), F.count_if((F.col("n") > 0) & (F.col("n") == F.col("all"))).alias("nuevas"))

@@ -237,3 +237,32 @@ def resolve_coordinates(df: DataFrame, keys: list[str], api: DataFrame, manual:
     best = F.coalesce("_o", "_a", "_m")
     src = F.when(F.col("_o").isNotNull(), "OVERRIDE").when(F.col("_a").isNotNull(), "GEOCODER").when(F.col("_m").isNotNull(), "MANUAL").otherwise("FALTANTE")
     return x.withColumn("latitud", best["latitud"]).withColumn("longitud", best["longitud"]).withColumn("fuente_coordenada", src).drop("_o", "_a", "_m")
+
+
+def collected(spark: SparkSession, windows: list[tuple[date, date]], fetch: Callable[[date, date], Iterator[tuple]], ddl: str) -> DataFrame:
+    """All windows fetched with retries in tasks, one window a row, united and freed of repeated rows."""
+    def run(batches):
+        import pandas as pd
+
+        for b in batches:
+            for a, z in zip(b["a"], b["z"], strict=True):
+                rows = retry(lambda a=a, z=z: list(fetch(a, z)))
+                yield pd.DataFrame(rows, columns=[c.strip().split()[0] for c in ddl.split(",")])
+
+    w = spark.createDataFrame(windows, "a date, z date").repartition(len(windows))
+    return w.mapInPandas(run, ddl).dropDuplicates()
+
+
+def ingest(parts: list[DataFrame], path: str, when: str) -> dict:
+    """Windows appended to gzip JSON one after the other, so no more than one is in flight; rows, first and last day run along. A window
+    without rows adds nothing; none with rows raises."""
+    total, first, last = 0, None, None
+    for p in parts:
+        r = p.agg(F.count("*").alias("n"), F.min(F.to_date(when)).alias("a"), F.max(F.to_date(when)).alias("b")).first()  # one row
+        if not r["n"]:
+            continue
+        p.write.mode("append").option("compression", "gzip").json(path)
+        total, first, last = total + r["n"], min(first or r["a"], r["a"]), max(last or r["b"], r["b"])
+    if not total:
+        raise ValueError("no rows to publish")
+    return {"rows": total, "min": first, "max": last}

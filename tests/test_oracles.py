@@ -1,10 +1,11 @@
 import pytest
 from oracle import compare
 
-from kilovela.plans import data_problems, lakehouse
+from kilovela.plans import data_problems, lakehouse, operations, serving
 
-ALL = {**data_problems.QUERIES, **lakehouse.QUERIES}
-SQL = {**data_problems.ORACLES, **lakehouse.ORACLES}
+MODULES = (data_problems, lakehouse, operations, serving)
+ALL = {k: q for m in MODULES for k, q in m.QUERIES.items()}
+SQL = {k: q for m in MODULES for k, q in m.ORACLES.items()}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
