@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from kilovela.functions import normalize as N
 from kilovela.operators import dimensions as D
 from kilovela.operators import exploration as X
-from kilovela.operators import joins, merge, quality, versioning
+from kilovela.operators import audit, governance, joins, loaders, merge, quality, versioning
 from kilovela.plans import measures as M
 from kilovela.plans import views as V
 from kilovela.session import join_small
@@ -134,7 +134,7 @@ def test_quality(frame):
     assert [(x["rule_name"], x["error_count"], x["error_rate"], x["passed"]) for x in r.collect()] == [("neg", 1, 0.25, False), ("ok", 0, 0.0, True)]
     assert [x["rule_name"] for x in quality.blocked(r).collect()] == ["neg"]
     assert quality.evaluate(d.limit(0), [quality.Rule("c", "neg", F.col("v") < 0)]).first()["error_rate"] is None
-    assert quality.daily_coverage(d, "ts").count() == 4 and quality.coverage_and_drift(d, "ts").first()["dias_incompletos"] == 4
+    assert quality.hour_mask(d, "ts").count() <= 4 and quality.coverage_and_drift(d, "ts").first()["dias_incompletos"] == 4
     assert quality.freshness(d, "ts", F.to_date(F.lit("2026-01-10"))).first()["dias_rezago"] == 6
     s = {x["slo_id"]: x["cumple"] for x in quality.slo(frame("slo_id string, valor double, operador string, umbral double", [("a", 1.0, "<=", 1.0), ("b", None, "<=", 1.0), ("c", 2.0, "==", 2.0), ("d", 1.0, ">=", 2.0)])).collect()}
     assert s == {"a": True, "b": False, "c": True, "d": False}
@@ -144,9 +144,9 @@ def test_quality(frame):
 
 def test_alerts_rerun_adds_nothing(frame):
     al = frame("alert_id string, rule_id string, run_id string, status string, created_at timestamp, resolved_at timestamp", [("x", "r1", "old", "OPEN", datetime(2026, 1, 1), None), ("y", "r2", "old", "OPEN", datetime(2026, 1, 1), None)])
-    res = frame("rule_id string, passed boolean", [("r1", True), ("r2", False)])
+    res = frame("rule_id string, passed boolean, is_blocking boolean", [("r1", True, True), ("r2", False, True), ("r3", False, False)])
     once = quality.open_alerts(al, res, "run", F.lit("2026-01-02").cast("timestamp"))
-    assert once.groupBy("status").count().orderBy("status").collect()[0]["count"] == 2
+    assert once.groupBy("status").count().orderBy("status").collect()[0]["count"] == 2 and once.where("rule_id = 'r3'").count() == 0
     assert frame.rows(quality.open_alerts(once, res, "run", F.lit("2026-01-02").cast("timestamp"))) == frame.rows(once)
 
 
@@ -182,14 +182,20 @@ def test_views_readable(frame):
 
 
 def test_chunks_and_windows(spark):
-    c = L.chunks(date(2024, 1, 1), date(2024, 3, 5), 31)
-    assert c == [(date(2024, 1, 1), date(2024, 1, 31)), (date(2024, 2, 1), date(2024, 3, 2)), (date(2024, 3, 3), date(2024, 3, 5))]
-    assert [tuple(r) for r in L.chunk_frame(spark, date(2024, 1, 1), date(2024, 3, 5), 31).collect()] == c and L.chunks(date(2024, 1, 2), date(2024, 1, 1), 5) == []
-    dflt = (date(2024, 1, 1), date(2024, 1, 9))
-    assert L.resolve_window("", "", "", dflt) == (*dflt, "INCREMENTAL") and L.resolve_window("auto", "2024-02-01", "2024-02-03", dflt)[2] == "BACKFILL"
-    for bad in (("BACKFILL", "", ""), ("BACKFILL", "2024-02-03", "2024-02-01"), ("x", "", "")):
+    c = L.chunks(date(2025, 11, 20), date(2026, 1, 15), 24)
+    assert c == [(date(2025, 11, 20), date(2025, 12, 13)), (date(2025, 12, 14), date(2026, 1, 6)), (date(2026, 1, 7), date(2026, 1, 15))]
+    assert [tuple(r) for r in L.chunk_frame(spark, date(2025, 11, 20), date(2026, 1, 15), 24).collect()] == c and L.chunks(date(2024, 1, 2), date(2024, 1, 1), 5) == []
+    for days in (0, 367):
         with pytest.raises(ValueError):
-            L.resolve_window(*bad, dflt)
+            L.chunks(date(2024, 1, 1), date(2024, 1, 2), days)
+    dflt, today = (date(2024, 1, 1), date(2024, 1, 9)), date(2024, 5, 1)
+    window = lambda *a, **kw: L.resolve_window(*a, dflt, today=today, **kw)
+    assert window("", "", "") == (*dflt, "INCREMENTAL") == window("auto", "2024-02-01", "2024-02-03") == window(None, None, None)
+    assert window(" backfill", "2024-02-01", "2024-02-03") == (date(2024, 2, 1), date(2024, 2, 3), "BACKFILL") == window("AUTO", "2024-02-01", "2024-02-03", default_mode="BACKFILL")
+    assert window("AUTO", "", "", default_mode="BACKFILL") == (*dflt, "BACKFILL")
+    for bad in (("BACKFILL", "", ""), ("BACKFILL", "2024-02-01", ""), ("BACKFILL", "2024-02-03", "2024-02-01"), ("BACKFILL", "2024-02-03", "2024-06-01"), ("x", "", "")):
+        with pytest.raises(ValueError):
+            window(*bad)
     assert L.covered(dflt, (date(2024, 1, 1), date(2024, 1, 7)), 2) and not L.covered(dflt, (date(2024, 1, 2), date(2024, 1, 9)), 2) and not L.covered(dflt, (None, None), 2)
 
 
@@ -226,7 +232,7 @@ def test_landing(spark, frame, tmp_path):
     d = frame("FechaHora timestamp, Valor string", [(datetime(2026, 1, 1), "1,5"), (datetime(2026, 1, 2), None)])
     path = str(tmp_path / "x")
     assert L.publish_json(d, path) == 2 and L.publish_json(d.limit(1), path) == 1
-    back = L.lineage(L.read_json(spark, path, "FechaHora timestamp, Valor string"))
+    back = L.lineage(L.read_json(spark, L.published(spark, path), "FechaHora timestamp, Valor string"))
     assert back.count() == 1 and back.first()["source_file_name"].endswith(".json.gz")
     assert L.renamed(back, {"Valor": "valor", "Nada": "nada"}).first().asDict() == {"valor": "1,5", "nada": None}
     assert L.guard(d, "FechaHora")["rows"] == 2
@@ -271,3 +277,68 @@ def test_entry(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).count() > 0
+
+
+def test_policy_numbers_have_no_digit_limit(frame):
+    d = frame("v string", [("TX9999999",), ("tx12 ",), ("TXF",), ("TX" + "9" * 60,), ("TX",), ("ABC",), (None,)])
+    got = {r["v"]: r["p"] for r in d.select("v", versioning.priority("v").alias("p")).collect()}
+    assert got == {"TX9999999": 999999900, "tx12 ": 1200, "TXF": 10000, "TX" + "9" * 60: 10**17, "TX": 0, "ABC": 0, None: 0}
+    ddl = "version_pattern string, priority int, multiplier int, activo boolean"
+    rows = [("TXF", 10, None, True), ("TXR", 9, None, True), ("TX_NUMERIC", None, 1, True)]
+    assert versioning.load_policy(frame(ddl, rows)) == {"TXF": 10, "TXR": 9, "TX_NUMERIC": 1}
+    for bad in (rows[:2], [*rows, rows[0]], [*rows, ("OTRA", 1, None, True)], [*rows[:2], ("TX_NUMERIC", None, None, True)]):
+        with pytest.raises(ValueError):
+            versioning.load_policy(frame(ddl, bad))
+
+
+def test_two_writers_of_one_version(spark, frame, tmp_path):
+    t, u = (merge.Table(spark, str(tmp_path / "t")) for _ in range(2))
+    t.append(frame("k int", [(1,)]))
+    stale = u.history()
+    u.history = lambda: stale  # the second writer has read the log before the first one commits
+    t.append(frame("k int", [(2,)]))
+    with pytest.raises(RuntimeError):
+        u.write(frame("k int", [(9,)]), "APPEND")
+    assert frame.rows(t.read()) == [(1,), (2,)] and frame.rows(t.read(0)) == [(1,)]
+
+
+def test_a_reader_streams_and_goes_on_after_an_error(monkeypatch):
+    monkeypatch.setattr(L.time, "sleep", lambda s: None)
+    tries = []
+
+    def fetch(a, b):
+        tries.append(a)
+        for k in range(5):
+            if k == 3 and len(tries) == 1:
+                raise ConnectionError
+            yield (k,)
+
+    r = L.RangeReader({"start": "2024-01-01", "end": "2024-01-02", "days": "2"}, None, fetch)
+    assert [x for (x,) in r.read(r.partitions()[0])] == [0, 1, 2, 3, 4] and len(tries) == 2
+
+
+def test_gate_invariants_and_quarantine_on_nothing(frame):
+    agents = frame("codigo_agente string, fecha_inicio date, fecha_fin date, es_actual boolean")
+    plants = frame("es_registro_inferido boolean, esta_en_maestro_actual boolean, fecha_primera_observacion date, fecha_ultima_observacion date", [(True, True, None, None), (True, False, date(2024, 1, 2), date(2024, 1, 1)), (None, None, None, None)])
+    bridge = frame("planta_key long, embalse_key long, activo boolean, requiere_revision_manual boolean, valido_desde date, valido_hasta date", [(1, 1, True, False, None, None), (1, None, True, False, None, None), (1, 1, True, False, date(2024, 2, 1), date(2024, 1, 1)), (None, None, False, True, None, None)])
+    aliases = frame("entity_type string, alias_normalized string, status string", [("E", "a", "APPROVED"), ("E", "a", "APPROVED"), ("E", "b", "APPROVED"), ("E", "b", "PROPOSED")])
+    got = dict(frame.rows(governance.gate(aliases, agents, plants, bridge)))
+    assert got == {"alias_duplicados": 1, "solapamientos_scd2": 0, "sin_version_actual_unica": 0, "inferidos_oficiales": 1, "relaciones_invalidas": 2}
+    assert tuple(governance.plant_invariants(plants).first()) == (3, 1, 1, 1)
+    rules = [quality.Rule("t", "neg", F.col("v") < 0, blocking=True)]
+    ok, bad = audit.quarantine(frame("v int, reglas string", [(1, "x"), (-1, "x"), (None, "x")]), rules, "r", ["v"])
+    assert frame.rows(ok) == [(1, "x"), (None, "x")] and frame.rows(bad) == [(-1, "neg", "r")]
+
+
+def test_loader_gate_and_flags(frame):
+    spec = loaders.Load(["k"], ["k"], payload=["v"], tie="registro_id")
+    ddl = "registro_id long, k string, v string, source_file_name string, source_file_path string, ingestion_timestamp timestamp, load_date date, silver_created_at timestamp, silver_updated_at timestamp"
+    row = lambda i, k, v, h: (i, k, v, "f", None, datetime(2026, 1, 1, h), date(2026, 1, 1), None, None)
+    d = frame(ddl, [row(1, " a", "x", 1), row(2, "A ", "y", 2), row(3, "b", "z", 0)])
+    ref = frame("c string", [("a",), (None,)])
+    shape = d.select("k", "v", "source_file_name", "source_file_path", "ingestion_timestamp", "load_date", "silver_created_at", "silver_updated_at").withColumn("hay", F.lit(True)).limit(0)
+    new, counts = loaders.load(d, shape, spec, F.lit("2026-02-01").cast("timestamp"), {"hay": (ref, "c", "k")})
+    assert sorted((r["k"], r["v"], r["hay"]) for r in new.collect()) == [("A", "y", True), ("B", "z", False)] and frame.rows(counts) == [("insert", 2)]
+    with pytest.raises(ValueError):
+        loaders.incoming(frame(ddl, [row(1, " ", "x", 1)]), None, spec)
+    assert loaders.incoming(frame(ddl), None, spec).count() == 0
