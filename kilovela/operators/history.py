@@ -1,9 +1,10 @@
 """History of changing attributes out of periodic snapshots, by Merkle comparison.
 
-Every entity hashes to a leaf bucket. For each snapshot a leaf's hash is the xor of its rows' state hashes and each higher
-node's the xor of its children's; consecutive snapshots are compared from the root downwards and only differing branches
-are followed. Rows of leaves equal to the snapshot before are the same rows again and cannot start a version, so only the
-rows of differing leaves are diffed, entity by entity, against the last state known.
+Every entity hashes to a leaf bucket, of which there are some times as many as entities (a power of 16). For each period a leaf's hash is
+the xor of its entities' states and each higher node's the xor of its children's; consecutive periods are compared from the root
+downwards and only differing branches are followed. A leaf equal to the one of the period before, in which no entity changed within
+either, holds the same states again: its rows cannot start a version, so only the rows of differing leaves are diffed, entity by
+entity, against the last state known.
 
 Defined results: rows with NULL or blank entity or NULL date are no snapshot of anything and are left out; a NULL or blank
 attribute keeps its earlier value (before the first value it is NULL, and the first value then starts a version);
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from kilovela.functions.normalize import code, plain_text
 from kilovela.session import stage
 
-LEVELS = (4096, 256, 16, 1)  # nodes per level, leaves first
+FAN = 16
 
 
 def latest(df: DataFrame, entity: str, when: str, attrs: list[str], loaded: str, tie: str) -> DataFrame:
@@ -31,40 +32,51 @@ def latest(df: DataFrame, entity: str, when: str, attrs: list[str], loaded: str,
     return top.select("e", "f", *[F.col(f"x.a.{a}").alias(a) for a in attrs], *[plain_text(F.col(f"x.a.{a}")).alias(f"_{a}") for a in attrs])
 
 
-def _node(level: int, leaf: Column) -> Column:
-    return F.floor(leaf * LEVELS[level] / LEVELS[0]).cast("int")
+def leaves_for(rows: DataFrame) -> int:
+    """Power of 16 that reaches four times the number of entities, so that most leaves hold one: a neighbour's change costs no row."""
+    n = rows.agg(F.approx_count_distinct("e").alias("n")).first()["n"]  # one number
+    leaves = FAN
+    while leaves < 4 * n:
+        leaves *= FAN
+    return leaves
 
 
-def changed_leaves(rows: DataFrame, attrs: list[str]) -> DataFrame:
-    """(f, leaf) pairs whose leaf hash differs from the one at the snapshot before (or that have none before)."""
+def _leaf(leaves: int) -> Column:
+    return F.pmod(F.xxhash64("e"), F.lit(leaves)).cast("int")
+
+
+def changed_leaves(rows: DataFrame, attrs: list[str], leaves: int, period: str = "month") -> DataFrame:
+    """(p, leaf) pairs of the periods whose leaf differs from the one of the period before (or that have none before), or in which an
+    entity has several states in either."""
     state = F.xxhash64("e", *[F.coalesce(F.col(f"_{a}"), F.lit("\0")) for a in attrs])
-    leaf = F.pmod(F.xxhash64("e"), F.lit(LEVELS[0])).cast("int")
-    nodes = stage(rows.select("f", leaf.alias("leaf"), state.alias("h")).groupBy("f", "leaf").agg(F.bit_xor("h").alias("h"), F.count("*").alias("n")), "leaves")
-    dates = nodes.select("f").distinct()
-    before = dates.withColumn("antes", F.lag("f").over(Window.orderBy("f")))  # one row per snapshot date
-    open_ = None
-    for level in range(len(LEVELS) - 1, -1, -1):
-        at = nodes.withColumn("node", _node(level, F.col("leaf")))
-        if open_ is not None:
-            parent = F.floor(F.col("node") * LEVELS[level + 1] / LEVELS[level]).cast("int")
-            at = at.withColumn("parent", parent)
-        tree = at.groupBy("f", *(["parent"] if open_ is not None else []), "node").agg(F.bit_xor(F.xxhash64("leaf", "h", "n")).alias("h"))
-        now = tree.join(F.broadcast(before), "f")
+    per = rows.select(F.trunc("f", period).alias("p"), "e", state.alias("h")).groupBy("p", "e").agg(F.min("h").alias("h"), (F.min("h") == F.max("h")).alias("one"))
+    # a leaf with an entity of several states equals no other: its hash takes in the period
+    mixed = F.when(F.bool_and("one"), F.bit_xor("h")).otherwise(F.xxhash64(F.bit_xor("h"), F.col("p")))
+    nodes = stage(per.withColumn("leaf", _leaf(leaves)).groupBy("p", "leaf").agg(mixed.alias("h"), F.count("*").alias("n"), F.bool_and("one").alias("one")), "leaves")
+    before = nodes.select("p").distinct().withColumn("antes", F.lag("p").over(Window.orderBy("p")))  # one row per period
+    open_, width = None, 1
+    while width <= leaves:
+        at = nodes.withColumn("node", F.floor(F.col("leaf") * width / leaves).cast("int"))
+        up = [] if open_ is None else ["parent"]
+        at = at.withColumn("parent", F.floor(F.col("node") / FAN).cast("int"))
+        tree = at.groupBy("p", *up, "node").agg(F.bit_xor(F.xxhash64("leaf", "h", "n")).alias("h"), F.bool_and("one").alias("one"))
+        now = tree.join(F.broadcast(before), "p")  # one row per period
         if open_ is not None:
-            now = now.join(open_, ["f", "parent"], "left_semi")
-        old = tree.select(F.col("f").alias("antes"), "node", F.col("h").alias("h0"))
-        diff = now.join(old, ["antes", "node"], "left").where(F.col("h0").isNull() | (F.col("h") != F.col("h0")))
-        open_ = diff.select("f", F.col("node").alias("parent"))
-        if level:
+            now = now.join(open_, ["p", "parent"], "left_semi")
+        old = tree.select(F.col("p").alias("antes"), "node", F.col("h").alias("h0"), F.col("one").alias("one0"))
+        diff = now.join(old, ["antes", "node"], "left").where(F.col("h0").isNull() | (F.col("h") != F.col("h0")) | ~F.col("one") | ~F.col("one0"))
+        open_ = diff.select("p", F.col("node").alias("parent"))
+        if width < leaves:
             open_ = stage(open_, "open")
+        width *= FAN
     return open_.withColumnRenamed("parent", "leaf")
 
 
-def versions(df: DataFrame, entity: str, when: str, attrs: list[str], loaded: str, tie: str) -> DataFrame:
+def versions(df: DataFrame, entity: str, when: str, attrs: list[str], loaded: str, tie: str, period: str = "month") -> DataFrame:
     """(entity, numero_version, attributes as first seen, fecha_inicio, fecha_fin, es_actual)."""
     rows = stage(latest(df, entity, when, attrs, loaded, tie), "snap")
-    leaf = F.pmod(F.xxhash64("e"), F.lit(LEVELS[0])).cast("int")
-    near = rows.withColumn("leaf", leaf).join(changed_leaves(rows, attrs), ["f", "leaf"], "left_semi")
+    leaves = leaves_for(rows)
+    near = rows.withColumns({"p": F.trunc("f", period), "leaf": _leaf(leaves)}).join(changed_leaves(rows, attrs, leaves, period), ["p", "leaf"], "left_semi")
     w = Window.partitionBy("e").orderBy("f")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     for a in attrs:

@@ -251,19 +251,34 @@ def test_history(frame):
 
 
 def test_merkle_descends_only_where_something_changed(frame):
-    rows = [(f"2024-0{m}-01", f"A{k}", "n" if (m, k) != (3, 17) else "changed", "GEN", 0) for m in range(1, 6) for k in range(300)]
+    rows = [(f"2024-0{m}-{10 + k % 3}", f"A{k}", "n" if (m, k) != (3, 17) else "changed", "GEN", 0) for m in range(1, 6) for k in range(300)]
+    rows += [("2024-04-28", "A5", "two states", "GEN", 0)]
     latest = history.latest(frame(SNAP, snap(rows)), "codigo_agente", "fecha", ["nombre_agente", "actividad_agente"], "ingestion_timestamp", "registro_id")
-    per = dict(history.changed_leaves(latest, ["nombre_agente", "actividad_agente"]).groupBy(F.month("f")).count().collect())
-    assert per[3] == 1 and per[4] == 1 and 2 not in per and 5 not in per and per[1] > 200
+    leaves = history.leaves_for(latest)
+    per = dict(history.changed_leaves(latest, ["nombre_agente", "actividad_agente"], leaves).groupBy(F.month("p")).count().collect())
+    assert leaves == 4096 and per[3] == 1 and per[4] == 2 and per[5] == 1 and 2 not in per and per[1] > 200
+
+
+def test_merkle_prunes_most_rows_of_the_given_snapshots(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/agentes.parquet")
+    attrs = ["nombre_agente", "actividad_agente"]
+    rows = history.latest(d, "codigo_agente", "fecha", attrs, "ingestion_timestamp", "registro_id").cache()
+    leaves = history.leaves_for(rows)
+    left = rows.withColumns({"p": F.trunc("f", "month"), "leaf": history._leaf(leaves)}).join(history.changed_leaves(rows, attrs, leaves), ["p", "leaf"], "left_semi").count()
+    assert left < 0.5 * rows.count()
 
 
 def test_history_matches_brute_force(frame):
     rnd = random.Random(9)
-    rows = [(f"2024-{m:02d}-01", f"A{k}", rnd.choice(["x", "x", "y", None, ""]), rnd.choice(["g", "g", "h", None]), rnd.randint(0, 3)) for m in range(1, 13) for k in range(25) if rnd.random() > 0.2]
+    rows = [(f"2024-{m:02d}-{rnd.choice([1, 1, 9, 20]):02d}", f"A{k}", rnd.choice(["x", "x", "x", "x", "y", None, ""]), rnd.choice(["g", "g", "h", None]), rnd.randint(0, 3)) for m in range(1, 13) for k in range(25) for _ in range(rnd.choice([0, 1, 1, 2]))]
     want = []
     for k in {r[1] for r in rows}:
         prev = None
-        for f, _, n, a, _ in sorted(r for r in rows if r[1] == k):
+        last = {}
+        for i, r in enumerate(rows):
+            if r[1] == k and (r[0] not in last or (r[4], i) > last[r[0]][0]):
+                last[r[0]] = (r[4], i), r
+        for f, (_, (_, _, n, a, _)) in sorted(last.items()):
             cur = ((n or "").upper() or (prev and prev[0]) or None, (a or "").upper() or (prev and prev[1]) or None)
             if prev is None or cur != prev:
                 want.append((k, f))
