@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kilovela.session import join_small, stage
+from kilovela.session import fits_broadcast, join_small, stage
 
 FAR = 2**62
 RECT = ["entity", "pick", "v0", "v1", "r0", "r1"]
@@ -60,12 +60,13 @@ def rectangles(versions: DataFrame) -> DataFrame:
     return a.mapInPandas(_sweep, "entity string, pick long, v0 long, v1 long, r0 long, r1 long").where((F.col("v0") < F.col("v1")) & (F.col("r0") < F.col("r1")))
 
 
-def as_known(events: DataFrame, versions: DataFrame, cells: int = 12, max_rows: int = 400_000) -> DataFrame:
+def as_known(events: DataFrame, versions: DataFrame, cells: int = 12, max_rows: int = 200_000, salts: int = 8) -> DataFrame:
     """Adds to every event the ``pick`` of the version of its entity that was valid and already recorded, else NULL.
 
     ``events``: entity, vday (day number), vrec (micros), any other columns. ``versions``: entity, s, c, pick (long).
     Events without entity or time, or before the first recorded version, get NULL. Rows are neither lost nor doubled.
-    The grid has ``cells`` steps on each axis between the first and last event.
+    The grid has ``cells`` steps on each axis between the first and last event. An index of more than ``max_rows`` rows, or of more
+    bytes than may be broadcast, is shuffled, with events salted.
     """
     span = events.agg(F.min("vday").alias("a"), F.max("vday").alias("b"), F.min("vrec").alias("c"), F.max("vrec").alias("d")).first()
     a, b, c, d = (x if x is not None else 0 for x in span)
@@ -84,11 +85,16 @@ def as_known(events: DataFrame, versions: DataFrame, cells: int = 12, max_rows:
     keyed = index.select(F.col("entity").alias("_e"), F.col("gv").alias("_gv"), F.col("gr").alias("_gr"), "v0", "v1", "r0", "r1", "_pick")
     cond = (F.col("entity") == F.col("_e")) & (F.col("gv") == F.col("_gv")) & (F.col("gr") == F.col("_gr"))
     cond &= (F.col("vday") >= F.col("v0")) & (F.col("vday") < F.col("v1")) & (F.col("vrec") >= F.col("r0")) & (F.col("vrec") < F.col("r1"))
-    side = F.broadcast(keyed) if index.limit(max_rows + 1).count() <= max_rows else keyed
-    return ev.join(side, cond, "left").drop("_e", "_gv", "_gr", "v0", "v1", "r0", "r1", "gv", "gr")
+    if fits_broadcast(index, max_rows):
+        keyed = F.broadcast(keyed)
+    else:  # both sides are shuffled by (entity, cell); a hot cell's events are spread by their own hash
+        ev = ev.withColumn("_salt", F.pmod(F.xxhash64(*events.columns), F.lit(salts)).cast("int"))
+        keyed = keyed.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        cond &= F.col("_salt") == F.col("_s")
+    return ev.join(keyed, cond, "left").drop("_e", "_gv", "_gr", "v0", "v1", "r0", "r1", "gv", "gr", "_salt", "_s")
 
 
-def agent_at_event(fact: DataFrame, dim: DataFrame, key: str = "agente_key", code: str = "codigo_agente", when: str = "fecha_hora", valid_from: str = "fecha_inicio", recorded: str = "fecha_creacion", id_col: str = "generacion_key") -> DataFrame:
+def agent_at_event(fact: DataFrame, dim: DataFrame, key: str = "agente_key", code: str = "codigo_agente", when: str = "fecha_hora", valid_from: str = "fecha_inicio", recorded: str = "fecha_creacion", id_col: str = "generacion_key", max_rows: int = 200_000) -> DataFrame:
     """(id, stored key, right key): each fact row with the dimension key that was valid and known at its time, 0 if none.
 
     A NULL or unknown stored key has no entity, hence 0; NULL times likewise. Codes are compared upper-case and trimmed.
@@ -97,6 +103,6 @@ def agent_at_event(fact: DataFrame, dim: DataFrame, key: str = "agente_key", cod
     d = stage(dim.select(F.col(key).cast("long").alias("pick"), norm.alias("entity"), F.unix_date(F.col(valid_from).cast("date")).cast("long").alias("s"), F.unix_micros(F.col(recorded).cast("timestamp")).alias("c")), "dim")
     f = fact.select(F.col(id_col), F.col(key).cast("long").alias("stored"), F.unix_date(F.col(when).cast("date")).cast("long").alias("vday"), F.unix_micros(F.col(when).cast("timestamp")).alias("vrec"))
     ids = d.where(F.col("pick").isNotNull()).groupBy(F.col("pick").alias("stored")).agg(F.min("entity").alias("entity"))
-    ev = join_small(f, ids, ["stored"], "left", salt_of=id_col, max_rows=400_000)
-    out = as_known(ev, d)
+    ev = join_small(f, ids, ["stored"], "left", salt_of=id_col, max_rows=max_rows)
+    out = as_known(ev, d, max_rows=max_rows)
     return out.select(id_col, F.col("stored").alias("guardado"), F.coalesce("_pick", F.lit(0)).cast("long").alias("correcto"))

@@ -1,6 +1,6 @@
 """History of changing attributes out of periodic snapshots, by Merkle comparison.
 
-Every entity hashes to a leaf bucket, of which there are some times as many as entities (a power of 16). For each period a leaf's hash is
+Every entity hashes to a leaf bucket, of which there are some times as many as entities (a power of 256). For each period a leaf's hash is
 the xor of its entities' states and each higher node's the xor of its children's; consecutive periods are compared from the root
 downwards and only differing branches are followed. A leaf equal to the one of the period before, in which no entity changed within
 either, holds the same states again: its rows cannot start a version, so only the rows of differing leaves are diffed, entity by
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from kilovela.functions.normalize import code, plain_text
 from kilovela.session import stage
 
-FAN = 16
+FAN = 256
 
 
 def latest(df: DataFrame, entity: str, when: str, attrs: list[str], loaded: str, tie: str) -> DataFrame:
@@ -33,7 +33,7 @@ def latest(df: DataFrame, entity: str, when: str, attrs: list[str], loaded: str,
 
 
 def leaves_for(rows: DataFrame) -> int:
-    """Power of 16 that reaches four times the number of entities, so that most leaves hold one: a neighbour's change costs no row."""
+    """Power of 256 that reaches four times the number of entities, so that most leaves hold one: a neighbour's change costs no row."""
     n = rows.agg(F.approx_count_distinct("e").alias("n")).first()["n"]  # one number
     leaves = FAN
     while leaves < 4 * n:
@@ -56,7 +56,7 @@ def changed_leaves(rows: DataFrame, attrs: list[str], leaves: int, period: str =
     before = nodes.select("p").distinct().withColumn("antes", F.lag("p").over(Window.orderBy("p")))  # one row per period
     open_, width = None, 1
     while width <= leaves:
-        at = nodes.withColumn("node", F.floor(F.col("leaf") * width / leaves).cast("int"))
+        at = nodes.withColumn("node", F.floor(F.col("leaf") / (leaves // width)).cast("int"))
         up = [] if open_ is None else ["parent"]
         at = at.withColumn("parent", F.floor(F.col("node") / FAN).cast("int"))
         tree = at.groupBy("p", *up, "node").agg(F.bit_xor(F.xxhash64("leaf", "h", "n")).alias("h"), F.bool_and("one").alias("one"))

@@ -77,10 +77,23 @@ def fill_calendar(df: DataFrame, day: str) -> DataFrame:
     return spine.join(df, day, "left")
 
 
-def as_of(left: DataFrame, right: DataFrame, key: str, at: str, value: str, salts: int = 1) -> DataFrame:
-    """Extension: last known right value at or before each left row, by one union and a running last; no range join."""
-    a = left.withColumn("_o", F.lit(1)).withColumn(value, F.lit(None).cast(dict(right.dtypes)[value]))
-    b = right.select(key, at, value).withColumn("_o", F.lit(0))
-    w = Window.partitionBy(key).orderBy(at, "_o").rowsBetween(Window.unboundedPreceding, 0)
-    u = a.unionByName(b, allowMissingColumns=True)
-    return u.withColumn(value, F.last(value, True).over(w)).where("_o = 1").drop("_o")
+def as_of(left: DataFrame, right: DataFrame, key: str, at: str, value: str, days: int = 32) -> DataFrame:
+    """Extension: last known right value at or before each left row, by one union and a running last; no range join.
+
+    Runs are kept within blocks of ``days`` days, so that a hot key is many tasks; what a block inherits is the last value of the
+    blocks before, found over one row per key and block. A NULL value is no value; of equal times any non-NULL one counts (the
+    largest); rows of ``left`` with a NULL key or time keep NULL. A numeric time counts seconds for the blocks."""
+    numeric = dict(right.dtypes)[at] in ("int", "bigint", "double", "float")
+    block = lambda c: F.floor(F.col(c) / (days * 86400)) if numeric else F.floor(F.unix_date(F.col(c).cast("date")) / days)
+    known = right.where(F.col(key).isNotNull() & F.col(at).isNotNull() & F.col(value).isNotNull()).groupBy(key, at).agg(F.max(value).alias(value)).withColumn("_b", block(at))
+    a = left.withColumns({"_b": block(at), "_o": F.lit(1), value: F.lit(None).cast(dict(right.dtypes)[value])})
+    w = Window.partitionBy(key, "_b").orderBy(at, "_o").rowsBetween(Window.unboundedPreceding, 0)
+    u = a.unionByName(known.withColumn("_o", F.lit(0)), allowMissingColumns=True)
+    near = u.withColumn(value, F.last(value, True).over(w)).where("_o = 1").drop("_o")
+    ends = known.groupBy(key, "_b").agg(F.max_by(value, at).alias("_v"))
+    spans = ends.withColumn("_to", F.lead("_b").over(Window.partitionBy(key).orderBy("_b")))  # one row per key and block
+    r = spans.select(F.col(key).alias("_k"), F.col("_b").alias("_from"), F.coalesce("_to", F.lit(2**31 - 1)).alias("_to"), "_v")
+    before = (F.col(key) == F.col("_k")) & (F.col("_b") > F.col("_from")) & (F.col("_b") <= F.col("_to"))
+    j = near.join(r, before, "left")
+    live = F.col(key).isNotNull() & F.col(at).isNotNull()
+    return j.withColumn(value, F.when(live, F.coalesce(F.col(value), F.col("_v")))).drop("_b", "_k", "_from", "_to", "_v")

@@ -7,7 +7,9 @@ a re-read and not the query.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -36,8 +38,9 @@ def make_session(app: str = "kilovela", cores: int | str = "*", shuffle_partitio
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors share: the session's ``spark.checkpoint.dir``, else the checkpoint directory already
-    set, else a fresh temporary one (single-machine runs only)."""
+    """Folder all executors share: the session's ``spark.checkpoint.dir``, else the checkpoint directory already set, else, in local
+    mode only, a fresh temporary one that goes when Python ends. On a cluster without that setting it raises: a folder of
+    one machine would be written in parts by several."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None)
     if named:
@@ -45,28 +48,59 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(named)
         return named.rstrip("/")
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="kilovela_"))
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="kilovela_")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        sc.setCheckpointDir(folder)
     return sc.getCheckpointDir().rstrip("/")
 
 
 def stage(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` once as Parquet under the shared folder and read it back: lineage ends there, statistics are
-    known to the planner, and columns stay prunable."""
+    known to the planner, and columns stay prunable. The folder goes with the driver's JVM."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/kv_{name}_{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _passing(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = 200_000) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows, counted by reading no more than that many."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def stage_by(df: DataFrame, keys: list[str], name: str = "t") -> DataFrame:
+    """As ``stage``, written in buckets of the keys: whatever groups by these keys (and more) afterwards needs no shuffle."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path, full = f"{shared_dir(spark)}/kv_{name}_{uuid.uuid4().hex}", f"kv_{name}_{uuid.uuid4().hex}"
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("path", path).format("parquet").saveAsTable(full)
+    _passing(spark, path)
+    return spark.table(full)
+
+
+def _passing(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+
+
+MAX_BYTES = 48 << 20
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = 200_000, max_bytes: int = MAX_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes of values, measured by reading no more than that many rows."""
+    fixed, size = 0, F.lit(0).cast("long")
+    for c, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+        fixed += 8
+    r = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
+    return r["n"] <= max_rows and r["b"] + fixed * r["n"] <= max_bytes
 
 
 def join_small(big: DataFrame, small: DataFrame, on: list[str], how: str = "left", salt_of: str | None = None, max_rows: int = 200_000, salts: int = 16) -> DataFrame:
     """Join a large, possibly skewed side with a side that is usually small.
 
-    Up to ``max_rows`` counted rows the small side is broadcast. Beyond that both sides are shuffled; if
+    Up to ``max_rows`` counted rows and ``MAX_BYTES`` measured bytes the small side is broadcast. Beyond that both sides are shuffled; if
     ``salt_of`` names a column of ``big``, the small side is repeated ``salts`` times and the large side spread by
     a hash of that column, so that one hot key is met by ``salts`` tasks. Results are the same in every case.
     """
@@ -86,7 +120,9 @@ def ship(spark: SparkSession) -> None:
     if getattr(sc, "_kilovela_shipped", False) or str(root) in {str(Path(p).resolve()) for p in reach if p}:
         return
     folder = shared_dir(spark).removeprefix("file://").removeprefix("file:")
-    folder = folder if os.path.isdir(folder) else tempfile.mkdtemp(prefix="kilovela_")
+    if not os.path.isdir(folder):  # an object store: the archive is made here and handed to Spark, which serves it to the workers
+        folder = tempfile.mkdtemp(prefix="kilovela_")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     path = f"{folder}/kilovela_{uuid.uuid4().hex}.zip"
     with zipfile.ZipFile(path, "w") as z:
         for f in sorted((root / "kilovela").rglob("*.py")):

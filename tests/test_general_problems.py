@@ -256,7 +256,7 @@ def test_merkle_descends_only_where_something_changed(frame):
     latest = history.latest(frame(SNAP, snap(rows)), "codigo_agente", "fecha", ["nombre_agente", "actividad_agente"], "ingestion_timestamp", "registro_id")
     leaves = history.leaves_for(latest)
     per = dict(history.changed_leaves(latest, ["nombre_agente", "actividad_agente"], leaves).groupBy(F.month("p")).count().collect())
-    assert leaves == 4096 and per[3] == 1 and per[4] == 2 and per[5] == 1 and 2 not in per and per[1] > 200
+    assert leaves == 65536 and per[3] == 1 and per[4] == 2 and per[5] == 1 and 2 not in per and per[1] > 200
 
 
 def test_merkle_prunes_most_rows_of_the_given_snapshots(spark):
@@ -285,3 +285,19 @@ def test_history_matches_brute_force(frame):
             prev = cur
     got = [(r["codigo_agente"], str(r["fecha_inicio"])) for r in hist(frame(SNAP, snap(rows))).collect()]
     assert sorted(got) == sorted(want)
+
+
+def test_as_known_with_a_shuffled_index(frame):
+    rnd = random.Random(14)
+    versions = [(rnd.choice(["a", "hot"]), rnd.randint(0, 60), rnd.randint(0, 60) * 10, i) for i in range(120)]
+    events = [(i, rnd.choice(["hot", "hot", "a", None]), rnd.randint(-5, 70), rnd.randint(-5, 70) * 10) for i in range(500)]
+    ev = frame("id long, entity string, vday long, vrec long", events)
+    got = {r["id"]: r["_pick"] for r in bitemporal.as_known(ev, frame("entity string, s long, c long, pick long", versions), max_rows=0).collect()}
+    assert got == brute_asof(events, versions)
+
+
+def test_a_side_of_few_but_wide_rows_is_not_broadcast(frame):
+    from kilovela.session import fits_broadcast
+
+    df = frame("k int, t string, l array<int>", [(1, "x" * 1000, [1]), (2, None, None)])
+    assert fits_broadcast(df) and not fits_broadcast(df, max_bytes=900) and not fits_broadcast(df, max_rows=1)
