@@ -3,8 +3,8 @@
 Numeric columns are described by mergeable exact power sums (count, sum and sum of squares in decimal arithmetic, so
 neither partitioning nor order changes them) and by the standardised difference of each load's mean to the load
 before and to all other loads. Grouped distincts, nulls, ranges and counts of pattern violations complete the profile.
-A shift is reported where the moment interval of a load (a median lies within one standard deviation of the mean)
-cannot rule it out and the exact median then confirms it.
+A shift is reported where a load's standardised difference to the limits set by the other loads (a median lies within one
+standard deviation of the mean) cannot rule it out and the exact median then confirms it.
 
 Defined results: NULL and NaN both count as null except in ``fuera``, where NaN of a bounded column is outside; values
 beyond ``decimal(18,s)`` stay out of the power sums and are counted in ``n_sin_suma``; a NULL load is a load of its own
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilovela.operators import quantiles
-from kilovela.session import fits_broadcast, stage
+from kilovela.session import fits_broadcast, join_small, stage
 
 
 @dataclass(frozen=True)
@@ -134,29 +134,56 @@ PAIR = ["tabla", "columna", "carga"]
 
 def _long(df: DataFrame, table: str, load: str, specs: list[ColumnSpec]) -> DataFrame:
     """(tabla, columna, carga, v, x, fuera): the named numeric columns below one another; x is what the exact sums take."""
-    item = lambda s: F.struct(F.lit(s.name).alias("columna"), F.col(s.name).cast("double").alias("v"), _exact(s, F.col(s.name)).cast("decimal(18,6)").alias("x"), F.coalesce(_broken(s, F.col(s.name)), F.lit(False)).alias("fuera"))
+    item = lambda s: F.struct(F.lit(s.name).alias("columna"), F.col(s.name).cast("double").alias("v"), _exact(s, F.col(s.name)).try_cast("decimal(18,6)").alias("x"), F.coalesce(_broken(s, F.col(s.name)), F.lit(False)).alias("fuera"))
     return df.where(F.col(load).isNotNull()).select(F.lit(table).alias("tabla"), F.col(load).cast("string").alias("carga"), F.explode(F.array(*[item(s) for s in specs])).alias("p")).select("tabla", "p.columna", "carga", "p.v", "p.x", "p.fuera")
 
 
 def findings(watched: list[Watched], min_rows: int = 20, null_share: float = 0.2, broken_share: float = 0.05, ratio: float = 3.0) -> DataFrame:
     """(tabla, columna, carga, hallazgo) of the loads of ``min_rows`` rows or more of all watched (frame, table, load column,
-    numeric specs), which share every pass.
+    numeric specs), which share both passes.
 
     ``nulos``: more than ``null_share`` of the rows null. ``rango``: more than ``broken_share`` of the non-null values
     outside the domain. ``distribucion``: the load's median is over ``ratio`` times, or under 1/``ratio`` of, the median
-    of all such loads' medians, tested where the moment interval mean +- deviation reaches beyond those limits.
+    of all such loads' medians.
+
+    The first pass counts and adds up powers per (load, value bucket); rolled up they are the loads' power sums, and the buckets bound
+    each load's median and the median of the medians. A load's distance from a limit in its own standard deviations then tells
+    whether its median can lie beyond it (a median lies within one deviation of the mean), and only such loads, with those that can
+    hold the median of the medians, are read again for their exact medians.
     """
     long = reduce(DataFrame.unionByName, [_long(*w) for w in watched])
-    m = long.groupBy(*PAIR).agg(F.count("*").alias("filas"), F.count("v").alias("llenas"), F.count_if("fuera").alias("fuera"), F.count_if(~F.isnan("v")).alias("validos"), F.count("x").alias("n"), F.sum("x").cast("decimal(38,6)").alias("suma"), F.sum(F.col("x") * F.col("x")).cast("decimal(38,12)").alias("suma2"))
-    mom = stage(shifts(m).where(F.col("filas") >= min_rows), "mom")
+    v = F.col("v")
+    slot = F.when(v.isNotNull() & ~F.isnan("v"), quantiles.bucket(v))
+    sums = [F.count("*").alias("filas"), F.count("v").alias("llenas"), F.count_if("fuera").alias("fuera"), F.count("x").alias("n_x"), F.sum("x").cast("decimal(38,6)").alias("suma"), F.sum(F.col("x") * F.col("x")).cast("decimal(38,12)").alias("suma2")]
+    sk = stage(long.groupBy(*PAIR, slot.alias("bucket")).agg(*sums, F.min("v").alias("lo"), F.max("v").alias("hi")), "sk")
+    total = [F.sum(c).alias(c) for c in ("filas", "llenas", "fuera", "n_x", "suma", "suma2")]
+    mom = stage(sk.groupBy(*PAIR).agg(*total, F.sum(F.when(F.col("bucket").isNotNull(), F.col("filas"))).alias("validos")).where(F.col("filas") >= min_rows), "mom")
     named = lambda df, h: df.select(*PAIR, F.lit(h).alias("hallazgo"))
     nulls = named(mom.where(F.col("filas") - F.col("llenas") > F.col("filas") * null_share), "nulos")
     broken = named(mom.where(F.col("fuera") > F.col("llenas") * broken_share), "rango")
-    sk = stage(quantiles.sketch(long, PAIR, "v"), "sk")
-    med = quantiles.exact_medians(long, sk, PAIR, "v", broadcast=fits_broadcast(sk, 400_000)).join(mom.select(*PAIR, "media", "desviacion", "n", "validos"), PAIR)
-    mid = med.groupBy("tabla", "columna").agg(F.percentile("mediana", F.lit(0.5)).alias("_m"))
-    f = med.join(F.broadcast(mid), ["tabla", "columna"])  # one row per column
-    up, down, slack = F.col("_m") * ratio, F.col("_m") / ratio, F.col("desviacion") * 1e-9 + F.abs("media") * 1e-6 + 1e-6
-    open_ = F.col("media").isNull() | (F.col("n") < F.col("validos")) | (F.col("media") + F.col("desviacion") + slack > up) | (F.col("media") - F.col("desviacion") - slack < down)
-    moved = named(f.where(open_ & ((F.col("mediana") > up) | (F.col("mediana") < down))), "distribucion")
+
+    sk = sk.where("bucket is not null").withColumnRenamed("filas", "n")
+    bounds = quantiles.median_bounds(sk, PAIR).join(mom.where("validos > 0").select(*PAIR, "n_x", "validos", "suma", "suma2"), PAIR)
+    by = Window.partitionBy("tabla", "columna")  # one row per load
+    for c in ("lo", "hi"):
+        w = by.orderBy(f"med_{c}")
+        bounds = bounds.withColumns({f"_r{c}": F.row_number().over(w), "_k": F.count("*").over(by)})
+        middle = lambda shift, c=c: F.max(F.when(F.col(f"_r{c}") == F.floor((F.col("_k") + shift) / 2), F.col(f"med_{c}"))).over(by)
+        bounds = bounds.withColumns({f"_a{c}": middle(1), f"_b{c}": middle(2)})
+    low, high = (F.col("_alo") + F.col("_blo")) / 2, (F.col("_ahi") + F.col("_bhi")) / 2
+    mean = F.col("suma").cast("double") / F.col("n_x")
+    spread = F.sqrt(F.greatest(F.col("suma2").cast("double") / F.col("n_x") - mean * mean, F.lit(0.0))) * (1 + 1e-9) + F.abs(mean) * 1e-6 + 1e-6
+    z_up, z_down = (low * ratio - mean) / spread, (mean - high / ratio) / spread
+    shifted = (F.col("n_x") < F.col("validos")) | (z_up < 1) | (z_down < 1)
+    inside = lambda x: (F.col("med_lo") <= F.col(f"_{x}hi")) & (F.col("med_hi") >= F.col(f"_{x}lo"))
+    judged = stage(bounds.select(*PAIR, "med_lo", shifted.alias("movida"), (inside("a") | inside("b")).alias("central")), "judged")
+    again = judged.where("movida or central").select(*PAIR)
+    few = fits_broadcast(again, 100_000)
+    part = long.join(F.broadcast(again) if few else again, PAIR)
+    exact = quantiles.exact_medians(part, join_small(sk, again, PAIR, "inner"), PAIR, "v", broadcast=few)
+    # a load that cannot hold the median of the medians counts by its bound, which lies on the same side of it
+    med = stage(judged.join(exact, PAIR, "left").withColumn("valor", F.coalesce("mediana", "med_lo")), "med")
+    mid = med.groupBy("tabla", "columna").agg(F.percentile("valor", F.lit(0.5)).alias("_m"))
+    f = med.where("movida").join(F.broadcast(mid), ["tabla", "columna"])  # one row per column
+    moved = named(f.where((F.col("mediana") > F.col("_m") * ratio) | (F.col("mediana") < F.col("_m") / ratio)), "distribucion")
     return nulls.unionByName(broken).unionByName(moved)

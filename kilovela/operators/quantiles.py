@@ -46,6 +46,15 @@ def approx_quantiles(sk: DataFrame, keys: list[str], qs: dict[str, float]) -> Da
     return c.groupBy(*keys).agg(*aggs, F.max("_total").alias("n"))
 
 
+def median_bounds(sk: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, med_lo, med_hi): least and greatest value the median can have, from the buckets of the one or two middle values."""
+    c = _cumulated(sk, keys, "bucket")
+    at = lambda shift: F.floor((F.col("_total") + shift) / 2)
+    has = lambda shift: (at(shift) > F.col("_upto") - F.col("n")) & (at(shift) <= F.col("_upto"))
+    pick = lambda shift, x: F.max(F.when(has(shift), F.col(x)))
+    return c.groupBy(*keys).agg(*[((pick(1, x) + pick(2, x)) / 2).alias(f"med_{x}") for x in ("lo", "hi")])
+
+
 def exact_medians(df: DataFrame, sk: DataFrame, keys: list[str], value: str, out: str = "mediana", broadcast: bool = False) -> DataFrame:
     """Per group the exact median (mean of the two middle values at an even count) of the values behind ``sk``.
 

@@ -301,3 +301,24 @@ def test_a_side_of_few_but_wide_rows_is_not_broadcast(frame):
 
     df = frame("k int, t string, l array<int>", [(1, "x" * 1000, [1]), (2, None, None)])
     assert fits_broadcast(df) and not fits_broadcast(df, max_bytes=900) and not fits_broadcast(df, max_rows=1)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_findings_equal_brute_force(frame, seed):
+    import statistics
+
+    rnd = random.Random(seed)
+    rows = []
+    for k in range(rnd.choice([6, 7, 12])):
+        level = rnd.choice([1.0, 10.0, 10.0, 12.0, 31.0, -5.0, 0.0])
+        rows += loads([None if rnd.random() < rnd.choice([0, 0.3]) else level * rnd.choice([0.5, 1, 1, 1, 2.9, 50]) + rnd.random() for _ in range(rnd.choice([19, 20, 33]))], f"c{k}")
+    by = defaultdict(list)
+    for load, v, *_ in rows:
+        by[load].append(v)
+    full = {k: [v for v in vs if v is not None] for k, vs in by.items() if len(vs) >= 20}
+    med = {k: statistics.median(vs) for k, vs in full.items() if vs}
+    m = statistics.median(med.values())
+    want = {("t", "valor", k, "nulos") for k, vs in full.items() if len(by[k]) - len(vs) > 0.2 * len(by[k])}
+    want |= {("t", "valor", k, "rango") for k, vs in full.items() if sum(v < 0 for v in vs) > 0.05 * len(vs)}
+    want |= {("t", "valor", k, "distribucion") for k, x in med.items() if x > 3 * m or x < m / 3}
+    assert set(frame.rows(findings([(frame(LOADS, rows), "t", "source_file_name", SPEC)]))) == want
