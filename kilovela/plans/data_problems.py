@@ -44,6 +44,12 @@ def p1_profile(spark: SparkSession, d: str) -> DataFrame:
     return _union(out).drop("suma", "suma2")
 
 
+def p1_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Of the profile what SQL can check: counts, exact distincts, mean, deviation and both standardised differences."""
+    r = lambda c: F.round(c, 5).alias(c)
+    return p1_profile(spark, d).select("tabla", "columna", "carga", "filas", "nulos", "fuera", "distintos", "n", r("media"), r("desviacion"), r("dif_anterior"), r("dif_resto"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     a = bitemporal.agent_at_event(table(spark, d, "fact_generacion_real"), table(spark, d, "dim_agente"))
     return a.where(~F.col("guardado").eqNullSafe(F.col("correcto"))).select("generacion_key", F.col("correcto").alias("agente_key"))
@@ -96,7 +102,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    "p1_found": p1_found, "p1_profile": p1_profile, "p2_found": p2_found, "p2_asof": p2_asof, "p3_found": p3_found, "p3_context": p3_context,
+    "p1_found": p1_found, "p1_profile": p1_profile, "p1_columns": p1_columns, "p2_found": p2_found, "p2_asof": p2_asof, "p3_found": p3_found, "p3_context": p3_context,
     "p4_found": p4_found, "p4_grid": p4_grid, "p4_accuracy": p4_accuracy, "p6_found": p6_found, "p6_history": p6_history,
 }
 
@@ -111,6 +117,31 @@ def _sql_findings(t: str, col: str, load: str, bad: str) -> str:
         FROM {t} WHERE {load} IS NOT NULL GROUP BY 1 HAVING count(*) >= 20)))"""
 
 
+_TAIL = ["source_file_name", "source_file_path", "ingestion_timestamp", "load_date", "silver_created_at", "silver_updated_at"]
+_COLUMNS = {
+    "generacion_real": ["registro_id", "codigo_variable", "fecha_hora", "codigo_duracion", "unidad_medida", "codigo_agente", "codigo_planta", "version", "valor", "planta_encontrada", "agente_encontrado", *_TAIL],
+    "embalses": ["codigo_embalse", "nombre_embalse", "latitud", "longitud", "tipo_coordenada", "fuente_coordenada", "estado_geocodificacion", "consulta_geocodificacion", "coordenadas_validas", "requiere_revision_manual", *_TAIL],
+    "data_quality_results": ["run_id", "rule_id", "component", "rule_name", "quality_dimension", "severity", "is_blocking", "error_count", "error_rate", "passed", "detail", "window_start_date", "window_end_date", "executed_at"],
+}
+_NUMBERS = {"registro_id": "false", "error_count": "false", "valor": "c < 0", "latitud": "c < -90 OR c > 90", "longitud": "c < -180 OR c > 180", "error_rate": "c < 0 OR c > 1"}
+
+
+def _sql_columns() -> str:
+    parts = []
+    for t, columns in _COLUMNS.items():
+        load = WATCHED[t][0]
+        for c in columns:
+            bad = _NUMBERS.get(c) or (f"NOT regexp_matches(CAST(c AS VARCHAR), '{PATTERNS[c]}')" if c in PATTERNS else "false")
+            x = "TRY_CAST(c AS DECIMAL(18,6))" if c in _NUMBERS else "CAST(NULL AS DECIMAL(18,6))"
+            n = f"count({x})" if c in _NUMBERS else "NULL::BIGINT"
+            parts.append(f"SELECT '{t}' AS tabla, '{c}' AS columna, l AS carga, count(*) AS filas, count(*) - count(c) AS nulos, count(*) FILTER (WHERE c IS NOT NULL AND ({bad})) AS fuera, count(DISTINCT c) AS distintos, {n} AS n, sum({x})::DOUBLE AS s, sum(CAST({x} AS DECIMAL(19,6)) * CAST({x} AS DECIMAL(19,6)))::DOUBLE AS q FROM (SELECT CAST({load} AS VARCHAR) AS l, {c} AS c FROM {t}) GROUP BY 1, 2, 3")
+    diff = lambda m, v: f"round(CASE WHEN va + {v} > 0 THEN (media - {m}) / sqrt((va + {v}) / 2) END, 5)"
+    return f"""WITH u AS ({' UNION ALL '.join(parts)}),
+    w AS (SELECT *, CASE WHEN n > 0 THEN s / n END AS media, CASE WHEN n > 0 THEN greatest(q / n - (s / n) * (s / n), 0) END AS va, sum(n) OVER b - coalesce(n, 0) AS rn, sum(s) OVER b - coalesce(s, 0) AS rs, sum(q) OVER b - coalesce(q, 0) AS rq FROM u WINDOW b AS (PARTITION BY tabla, columna)),
+    z AS (SELECT *, CASE WHEN rn > 0 THEN rs / rn END AS rm, CASE WHEN rn > 0 THEN greatest(rq / rn - (rs / rn) * (rs / rn), 0) END AS rv, lag(media) OVER o AS pm, lag(va) OVER o AS pv FROM w WINDOW o AS (PARTITION BY tabla, columna ORDER BY carga NULLS FIRST))
+    SELECT tabla, columna, carga, filas, nulos, fuera, distintos, n, round(media, 5) AS media, round(sqrt(va), 5) AS desviacion, {diff('pm', 'pv')} AS dif_anterior, {diff('rm', 'rv')} AS dif_resto FROM z"""
+
+
 def _sql_implausible(t: str, src: str, when: str, low: bool) -> str:
     return f"""
     SELECT '{t}' AS tabla, registro_id FROM (
@@ -125,6 +156,21 @@ def _sql_implausible(t: str, src: str, when: str, low: bool) -> str:
       WHERE v < 0 OR v > 3 * m {"OR v < m / 5" if low else ""} OR st.t IS NOT NULL)"""
 
 
+def _sql_context(t: str, src: str, when: str, low: bool) -> str:
+    """Fences of the source's hour of day from buckets of 1/16 octave, and jumps against the last reading of the period before."""
+    b = "CAST(floor(log2(v) * 16) AS INT)"
+    q = lambda p: f"min(CASE WHEN upto >= ceil(total * {p}) THEN (lo + hi) / 2 END)"
+    return f"""
+    SELECT '{t}' AS tabla, registro_id, coalesce(v > q3 + 3 * (q3 - q1) OR v < q1 - 3 * (q3 - q1), false) AS fuera_de_valla, coalesce(abs(v - antes) > (q3 + 3 * (q3 - q1)) - (q1 - 3 * (q3 - q1)), false) AS salto FROM (
+      WITH r AS (SELECT registro_id, upper(trim({src})) AS s, {when} AS t, valor AS v, hour({when}) AS h FROM {t} WHERE valor IS NOT NULL AND NOT isnan(valor) AND {src} IS NOT NULL AND {when} IS NOT NULL),
+      k AS (SELECT s, h, {b} AS k, count(*) AS n, min(v) AS lo, max(v) AS hi FROM r WHERE v > 0 GROUP BY 1, 2, 3),
+      c AS (SELECT *, sum(n) OVER (PARTITION BY s, h ORDER BY k) AS upto, sum(n) OVER (PARTITION BY s, h) AS total FROM k),
+      f AS (SELECT s, h, {q(0.25)} AS q1, {q(0.75)} AS q3 FROM c GROUP BY 1, 2),
+      p AS (SELECT s, t, arg_max(v, registro_id) AS v FROM r GROUP BY 1, 2),
+      l AS (SELECT s, t, lag(v) OVER (PARTITION BY s ORDER BY t) AS antes FROM p)
+      SELECT r.*, f.q1, f.q3, l.antes FROM r JOIN l USING (s, t) LEFT JOIN f USING (s, h)) WHERE fuera_de_valla OR salto"""
+
+
 _ASOF = """
     SELECT f.generacion_key, any_value(f.agente_key) AS guardado, coalesce(arg_max(d.agente_key, d.fecha_inicio), 0) AS agente_key
     FROM fact_generacion_real f LEFT JOIN dim_agente d0 ON d0.agente_key = f.agente_key
@@ -151,9 +197,11 @@ ORACLES: dict[str, str] = {
     "p1_found": " UNION ALL ".join(
         [_sql_findings("generacion_real", "valor", "source_file_name", "valor < 0"), _sql_findings("embalses", "latitud", "source_file_name", "abs(latitud) > 90"), _sql_findings("data_quality_results", "error_rate", "run_id", "error_rate < 0 OR error_rate > 1")]
     ),
+    "p1_columns": _sql_columns(),
     "p2_found": f"SELECT generacion_key, agente_key FROM ({_ASOF}) WHERE guardado IS DISTINCT FROM agente_key",
     "p2_asof": _ASOF,
     "p3_found": " UNION ALL ".join(_sql_implausible(*m) for m in MEASURES),
+    "p3_context": " UNION ALL ".join(_sql_context(*m) for m in MEASURES),
     "p4_found": """
     WITH o AS (SELECT DISTINCT agente_key, tipo_mercado, date_trunc('hour', fecha_hora) AS h FROM fact_demanda_real WHERE demanda_real_kwh IS NOT NULL),
     b AS (SELECT agente_key, tipo_mercado, unnest(generate_series(min(h), max(h), INTERVAL 1 HOUR)) AS h FROM o GROUP BY 1, 2)
