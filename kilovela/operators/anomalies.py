@@ -1,9 +1,9 @@
 """Implausible readings: negative values, values far from what the source usually reads, jumps and stuck values.
 
 Per-source quantile sketches are counts per (source, hour of day, log bucket), merged across partitions; the hour sketches
-give expanded interquartile fences in context, and merged over the hours they locate the source's exact median. Stuck
-values are runs of successive periods, found in time blocks of a source and stitched across block borders, so that no
-task ever holds all periods of a source.
+give expanded interquartile fences in context, and merged over the hours they bound the source's median, which settles all
+readings but those of sources that have some in the narrow bands left open. Stuck values are runs of successive periods,
+found in time blocks of a source and stitched across block borders, so that no task ever holds all periods of a source.
 
 Defined results: rows with NULL or NaN value, source or time are never flagged (a NULL source's negative value is); rows
 are judged one by one, so repeated rows are all flagged; a source without positive values has no median and no fence.
@@ -77,11 +77,22 @@ def _sketch(r: DataFrame) -> DataFrame:
     return stage(quantiles.sketch(pos, [*KEY, "hora"], "v"), "sketch")
 
 
-def medians(r: DataFrame) -> DataFrame:
-    """Exact median of the positive values per source."""
-    whole = quantiles.merge(_sketch(r), KEY)
-    pos = r.where((F.col("v") > 0) & F.col("src").isNotNull())
-    return stage(quantiles.exact_medians(pos, whole, KEY, "v", broadcast=fits_broadcast(whole.select(*KEY).distinct(), 100_000)), "med")
+def levels(r: DataFrame, high: float, low: float) -> DataFrame:
+    """(tabla, src, mediana): per source a level that judges every reading as the exact median of its positive values would.
+
+    The sketch bounds the median. Where no bucket of the source reaches into the bands that the limits leave open (``high`` times the
+    bounds, a ``low``-th of them) any value within the bounds judges alike; only sources with readings there are read again
+    for their exact medians."""
+    whole = stage(quantiles.merge(_sketch(r), KEY), "whole")
+    bounds = stage(quantiles.median_bounds(whole, KEY), "bounds")
+    lo, hi, m0, m1 = F.col("lo"), F.col("hi"), F.col("med_lo"), F.col("med_hi")
+    near = ((hi > m0 * high) & (lo <= m1 * high)) | ((hi >= m0 / low) & (lo < m1 / low))
+    unsure = stage(join_small(whole, bounds, KEY, "inner").where(near & (m0 < m1)).select(*KEY).distinct(), "unsure")
+    few = fits_broadcast(unsure, 100_000)
+    mark = F.broadcast(unsure) if few else unsure
+    pos = r.where((F.col("v") > 0) & F.col("src").isNotNull()).join(mark, KEY, "left_semi")
+    exact = quantiles.exact_medians(pos, whole.join(mark, KEY, "left_semi"), KEY, "v", broadcast=few)
+    return stage(bounds.join(exact, KEY, "left").select(*KEY, F.coalesce("mediana", "med_hi").alias("mediana")), "med")
 
 
 def fences(r: DataFrame, stretch: float = 3.0) -> DataFrame:
@@ -99,7 +110,7 @@ def implausible(tables: list[tuple[DataFrame, Measure]], high: float = 3.0, low:
     """
     r = reduce(DataFrame.unionByName, [readings(df, m) for df, m in tables])
     runs = stage(stuck_runs(r, least), "runs")
-    x = join_small(r.withColumn("block", _block(F.col("t"))), medians(r), KEY, "left", salt_of="id")
+    x = join_small(r.withColumn("block", _block(F.col("t"))), levels(r, high, low), KEY, "left", salt_of="id")
     inside = (x.tabla == runs.tabla) & (x.src == runs.src) & (x.block == runs.block) & (x.t >= runs.a) & (x.t <= runs.b)
     side = F.broadcast(runs) if fits_broadcast(runs, 200_000) else runs
     x = x.join(side, inside, "left").select(x.tabla, x.id, x.v, x.low, x.mediana, F.col("a").isNotNull().alias("atascado"))
