@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kilovela.session import stage
+from kilovela.session import join_small, stage
 
 RANK = 4
+BLOCK = 1024
 OBSERVED, FILLED, UNSUPPORTED = "observado", "estimado", "sin_soporte"
 
 
@@ -31,9 +32,11 @@ def hourly(df: DataFrame, keys: list[str], when: str, value: str, row_key: str)
 
 
 def grid(obs: DataFrame, keys: list[str]) -> DataFrame:
-    """Every hour from the first to the last observed one of each series."""
+    """Every hour from the first to the last observed one of each series. Spans are cut into blocks of hours, which are spread over the
+    tasks before they are written out, so a series with a stray date is no single task's burden."""
     ends = obs.groupBy(*keys).agg(F.min("h").alias("_a"), F.max("h").alias("_b"))
-    return ends.select(*keys, F.explode(F.sequence("_a", "_b")).alias("h"))
+    blocks = ends.select(*keys, "_b", F.explode(F.sequence("_a", "_b", F.lit(BLOCK))).alias("_a")).repartition(*keys, "_a")
+    return blocks.select(*keys, F.explode(F.sequence(F.col("_a"), F.least(F.col("_a") + (BLOCK - 1), F.col("_b")))).alias("h"))
 
 
 def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
@@ -62,7 +65,7 @@ def _solve(sums: pd.Series) -> pd.Series:
 
 def _half_step(cells: DataFrame, factor: DataFrame, side: str, other: str, ridge: float, prior: Column | None = None) -> DataFrame:
     """New factors of ``side`` given those of ``other`` (column ``f``), drawn towards ``prior`` (else 0) by the ridge."""
-    x = cells.join(factor, other)
+    x = join_small(cells, factor, [other], "inner", salt_of=side)
     f = [F.col("f")[i] for i in range(RANK)]
     sums = [F.sum(f[i] * f[j]) for i in range(RANK) for j in range(i, RANK)] + [F.sum(f[i] * F.col("z")) for i in range(RANK)]
     g = x.groupBy(side).agg(*[s.alias(f"_{k}") for k, s in enumerate(sums)], F.count("*").alias("apoyo"))
@@ -72,17 +75,25 @@ def _half_step(cells: DataFrame, factor: DataFrame, side: str, other: str, ridge
     return g.select(side, _solve(packed).alias("f"), "apoyo")
 
 
+def _moved(old: DataFrame, new: DataFrame) -> float:
+    """Root mean square change of the hour factors, as a share of their size."""
+    f = [(F.col("f")[i], F.col("_g")[i]) for i in range(RANK)]
+    j = join_small(new.select("h", "f"), old.select("h", F.col("f").alias("_g")), ["h"], "inner")
+    r = j.agg(F.sum(sum((a - b) ** 2 for a, b in f)).alias("d"), F.sum(sum(a * a for a, _ in f)).alias("n")).first()  # two numbers
+    return (r["d"] / r["n"]) ** 0.5 if r["n"] else 0.0
+
+
 def _start(h: Column) -> Column:
     """First hour factors and what hour factors are drawn towards: level and daily harmonics."""
     a = h * F.lit(2 * np.pi / 24)
     return F.array(F.lit(1.0), F.cos(a), F.sin(a), F.cos(a * 2))
 
 
-def fill(df: DataFrame, keys: list[str], when: str, value: str, row_key: str, rounds: int = 4, ridge: float = 0.5, daily: float = 20.0, least: int = 8) -> DataFrame:
+def fill(df: DataFrame, keys: list[str], when: str, value: str, row_key: str, rounds: int = 10, still: float = 0.01, ridge: float = 0.5, daily: float = 20.0, least: int = 8) -> DataFrame:
     """(keys, h, valor, estado) for every hour between a series' first and last observed hour.
 
     Values are factorised as standardised deviations from the source's mean; hour factors are drawn towards the daily
-    pattern by the weight ``daily``, so an hour with few readings falls back on it. A source needs ``least`` observed hours, an
+    pattern by the weight ``daily``, so an hour with few readings falls back on it. Rounds end when the hour factors stand ``still``. A source needs ``least`` observed hours, an
     hour one observed cell of such a source. An empty table gives an empty grid. Series are numbered by a 64-bit hash of
     their keys together with the keys, so equal hashes of different keys share a factor but never a cell.
     """
@@ -93,7 +104,10 @@ def fill(df: DataFrame, keys: list[str], when: str, value: str, row_key: str, ro
     hours = cells.select("h").distinct().select("h", _start(F.col("h")).alias("f"), F.lit(0).cast("long").alias("apoyo"))
     for _ in range(rounds):
         sources = stage(_half_step(cells, hours, "s", "h", ridge), "src")
-        hours = stage(_half_step(cells, sources, "h", "s", daily, _start(F.col("h"))), "hrs")
+        new = stage(_half_step(cells, sources, "h", "s", daily, _start(F.col("h"))), "hrs")
+        moved, hours = _moved(hours, new), new
+        if moved < still:
+            break
     all_cells = grid(obs, keys).withColumn("s", F.xxhash64(*keys))
     y = all_cells.join(obs.select(*keys, "h", "y"), _same(all_cells, obs, keys), "left").select(*[all_cells[k] for k in keys], all_cells["h"], all_cells["s"], "y")
     u = sources.select("s", F.col("f").alias("_u")).join(stats.select("s", "m", "d"), "s")

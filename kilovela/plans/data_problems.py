@@ -88,6 +88,12 @@ def p4_grid(spark: SparkSession, d: str) -> DataFrame:
     return _grid(spark, d)
 
 
+def p4_states(spark: SparkSession, d: str) -> DataFrame:
+    """Of the grid what SQL can check: every cell's state and the values of the observed ones."""
+    seen = F.col("estado") == gridfill.OBSERVED
+    return _grid(spark, d).select("agente_key", "tipo_mercado", "hora", "estado", F.when(seen, F.round("valor", 4)).alias("observado"), (~seen & F.col("valor").isNotNull()).alias("estimada"))
+
+
 def p4_accuracy(spark: SparkSession, d: str) -> DataFrame:
     return gridfill.holdout(table(spark, d, "fact_demanda_real"), ["agente_key", "tipo_mercado"], "fecha_hora", "demanda_real_kwh", "demanda_key")
 
@@ -103,7 +109,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "p1_found": p1_found, "p1_profile": p1_profile, "p1_columns": p1_columns, "p2_found": p2_found, "p2_asof": p2_asof, "p3_found": p3_found, "p3_context": p3_context,
-    "p4_found": p4_found, "p4_grid": p4_grid, "p4_accuracy": p4_accuracy, "p6_found": p6_found, "p6_history": p6_history,
+    "p4_found": p4_found, "p4_grid": p4_grid, "p4_states": p4_states, "p4_accuracy": p4_accuracy, "p6_found": p6_found, "p6_history": p6_history,
 }
 
 
@@ -206,6 +212,13 @@ ORACLES: dict[str, str] = {
     WITH o AS (SELECT DISTINCT agente_key, tipo_mercado, date_trunc('hour', fecha_hora) AS h FROM fact_demanda_real WHERE demanda_real_kwh IS NOT NULL),
     b AS (SELECT agente_key, tipo_mercado, unnest(generate_series(min(h), max(h), INTERVAL 1 HOUR)) AS h FROM o GROUP BY 1, 2)
     SELECT agente_key, tipo_mercado, strftime(h, '%Y%m%d%H')::BIGINT AS hora FROM b ANTI JOIN o USING (agente_key, tipo_mercado, h)""",
+    "p4_states": """
+    WITH r AS (SELECT DISTINCT agente_key AS a, tipo_mercado AS m, fecha_hora AS t, demanda_key, CAST(demanda_real_kwh AS DOUBLE) AS v FROM fact_demanda_real WHERE demanda_real_kwh IS NOT NULL AND fecha_hora IS NOT NULL),
+    o AS (SELECT a, m, date_trunc('hour', t) AS h, avg(v) AS y FROM r GROUP BY ALL), k AS (SELECT a, m FROM o GROUP BY ALL HAVING count(*) >= 8), hh AS (SELECT DISTINCT h FROM o JOIN k ON o.a IS NOT DISTINCT FROM k.a AND o.m IS NOT DISTINCT FROM k.m),
+    b AS (SELECT a, m, unnest(generate_series(min(h), max(h), INTERVAL 1 HOUR)) AS h FROM o GROUP BY a, m)
+    SELECT b.a AS agente_key, b.m AS tipo_mercado, strftime(b.h, '%Y%m%d%H')::BIGINT AS hora, CASE WHEN o.y IS NOT NULL THEN 'observado' WHEN k.a IS NOT NULL AND hh.h IS NOT NULL THEN 'estimado' ELSE 'sin_soporte' END AS estado,
+      round(o.y, 4) AS observado, o.y IS NULL AND k.a IS NOT NULL AND hh.h IS NOT NULL AS estimada
+    FROM b LEFT JOIN o ON o.a IS NOT DISTINCT FROM b.a AND o.m IS NOT DISTINCT FROM b.m AND o.h = b.h LEFT JOIN k ON k.a IS NOT DISTINCT FROM b.a AND k.m IS NOT DISTINCT FROM b.m LEFT JOIN hh ON hh.h = b.h""",
     "p6_found": f"{_HISTORY} SELECT codigo_agente, strftime(fecha_inicio, '%Y%m%d')::BIGINT AS fecha_inicio, strftime(fecha_fin, '%Y%m%d')::BIGINT AS fecha_fin FROM v",
     "p6_history": f"{_HISTORY} SELECT * FROM v",
 }
