@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilovela.llm import canonical, leakage, mixing, stuffing, survivors
+from kilovela.functions.normalize import match_key
 from kilovela.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +52,16 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return p7_values(spark, d).select("relacion_id", "campo", "codigo")
 
 
+def p7_same_letters(spark: SparkSession, d: str) -> DataFrame:
+    """Of the mapping the values that are a reference name but for case, accents, blanks and punctuation: what SQL can check."""
+    got, out = p7_values(spark, d), None
+    for column, ref, code, name in TYPED:
+        keys = table(spark, d, ref).groupBy(match_key(name).alias("k")).agg(F.count("*").alias("n")).where("n = 1")
+        one = got.where(F.col("campo") == column).withColumn("k", match_key("valor")).join(F.broadcast(keys), "k")  # the two lists are fixed
+        out = one if out is None else out.unionByName(one)
+    return out.select("relacion_id", "campo", "codigo")
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
@@ -59,6 +70,19 @@ def p8_scrubbed(spark: SparkSession, d: str) -> DataFrame:
     return leakage.scrub(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
 
+def p8_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Of the scrubbing the words of each document, how many go, and whether the document goes whole."""
+    return p8_scrubbed(spark, d).select("doc_id", "palabras", "filtradas", "descartado")
+
+
+def p9_targets_met(spark: SparkSession, d: str) -> DataFrame:
+    """Whether each source with documents has its share of the tokens by membership within half a point, and no document is used too often."""
+    s = p9_shares(spark, d)
+    there = s.agg(F.sum(F.when(F.col("parte_esperada") > 0, F.col("objetivo"))).alias("_q"))
+    ok = (F.abs(F.col("parte_esperada") - F.col("objetivo") / F.col("_q")) <= 0.005) & (F.col("mas_copias") <= F.col("max_repeats"))
+    return s.crossJoin(F.broadcast(there)).select("source", "objetivo", "max_repeats", (ok | (F.col("parte_esperada") == 0)).alias("cumple"))  # one row
+
+
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0].drop("p", "cap")
 
@@ -75,9 +99,16 @@ def p10_pages(spark: SparkSession, d: str) -> DataFrame:
     return stuffing.pages(table(spark, d, "documents"))
 
 
+def p10_plain_cases(spark: SparkSession, d: str) -> DataFrame:
+    """Of the flagged pages those that hold nothing but links or nothing but tags, six or more: what SQL can check."""
+    t = table(spark, d, "documents").select("doc_id", F.trim("text").alias("t"))
+    kind = F.when(F.col("t").rlike(r"(?i)^(https?://\S+\s*){6,}$"), "enlaces").when(F.col("t").rlike(r"^(#\w+[ ,]*){6,}$"), "etiquetas")
+    return p10_found(spark, d).join(t.select("doc_id", kind.alias("clase")).where("clase is not null"), "doc_id").select("doc_id", "clase")
+
+
 QUERIES: dict[str, Query] = {
-    "p5_found": p5_found, "p5_survivors": p5_survivors, "p5_votes": p5_votes, "p5_weights": p5_weights, "p7_found": p7_found, "p7_values": p7_values, "p8_found": p8_found, "p8_scrubbed": p8_scrubbed,
-    "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_pages": p10_pages,
+    "p5_found": p5_found, "p5_survivors": p5_survivors, "p5_votes": p5_votes, "p5_weights": p5_weights, "p7_found": p7_found, "p7_values": p7_values, "p7_same_letters": p7_same_letters, "p8_found": p8_found, "p8_scrubbed": p8_scrubbed, "p8_counts": p8_counts,
+    "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p9_targets_met": p9_targets_met, "p10_found": p10_found, "p10_pages": p10_pages, "p10_plain_cases": p10_plain_cases,
 }
 
 
@@ -85,6 +116,10 @@ def _words(c: str) -> str:
     return f"regexp_extract_all(lower(strip_accents({c})), '[\\p{{L}}\\p{{N}}]+')"
 
 
+def _letters(c: str) -> str:
+    return f"regexp_replace(translate(upper({c}), 'ÁÉÍÓÚÜÑ', 'AEIOUUN'), '[^A-Z0-9]+', '', 'g')"
+
+
 _CLAIMS = """r AS (SELECT *, registro_id AS id, upper(trim(version)) AS ver, dense_rank() OVER (ORDER BY upper(trim(codigo_variable)), fecha_hora,
         upper(trim(codigo_duracion)), upper(trim(unidad_medida)), upper(trim(codigo_agente)), upper(trim(codigo_planta))) AS g FROM generacion_real),
     k AS (SELECT *, coalesce(CASE WHEN ver = 'TXF' THEN 4000000000000000 WHEN ver = 'TXR' THEN 3000000000000000 WHEN regexp_full_match(ver, 'TX[0-9]{1,15}') THEN substr(ver, 3)::BIGINT ELSE -1 END, -1) AS p FROM r),
@@ -122,6 +157,20 @@ ORACLES: dict[str, str] = {
     k AS (SELECT *, CASE WHEN ver = 'TXF' THEN 4e15 WHEN ver = 'TXR' THEN 3e15 WHEN regexp_full_match(ver, 'TX[0-9]{1,15}') THEN substr(ver, 3)::BIGINT ELSE -1 END AS p FROM r)
     SELECT min(registro_id) AS grupo_id, first(registro_id ORDER BY (valor IS NOT NULL) DESC, p DESC, ingestion_timestamp DESC NULLS LAST, registro_id DESC) AS registro_id
     FROM k GROUP BY g HAVING count(*) >= 2""",
+    "p7_same_letters": " UNION ALL ".join(
+        f"""SELECT relacion_id, '{c}' AS campo, r.code AS codigo FROM plantas_reservorios p JOIN (SELECT {_letters(n)} AS k, min({code}) AS code FROM {ref} GROUP BY 1 HAVING count(*) = 1) r ON {_letters("p." + c)} = r.k
+    WHERE trim(p.{c}) <> '' AND p.{c} NOT IN (SELECT {n} FROM {ref} WHERE {n} IS NOT NULL)"""
+        for c, ref, code, n in TYPED
+    ),
+    "p8_counts": f"""
+    WITH ig AS (SELECT DISTINCT array_to_string(w[k:k + 11], ' ') AS g FROM (SELECT w, unnest(range(1, len(w) - 10)) AS k FROM (SELECT {_words("text")} AS w FROM eval_items) WHERE len(w) >= 12)),
+    d AS (SELECT doc_id, {_words("text")} AS w FROM documents WHERE text IS NOT NULL),
+    h AS (SELECT DISTINCT doc_id, k + unnest(range(0, 12)) AS pos FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS k FROM d WHERE len(w) >= 12) JOIN ig ON ig.g = array_to_string(w[k:k + 11], ' ')),
+    n AS (SELECT doc_id, count(*) AS filtradas FROM h GROUP BY 1)
+    SELECT doc_id, len(w) AS palabras, filtradas, filtradas > 0.5 * len(w) AS descartado FROM n JOIN d USING (doc_id)""",
+    "p9_targets_met": "SELECT source, target_share AS objetivo, CAST(max_repeats AS INT) AS max_repeats, true AS cumple FROM mix_targets",
+    "p10_plain_cases": r"""SELECT doc_id, CASE WHEN regexp_full_match(trim(text), '(?i)(https?://\S+\s*){6,}') THEN 'enlaces' ELSE 'etiquetas' END AS clase FROM documents
+    WHERE regexp_full_match(trim(text), '(?i)(https?://\S+\s*){6,}') OR regexp_full_match(trim(text), '(#\w+[ ,]*){6,}')""",
     "p8_found": f"""
     WITH i AS (SELECT item_id, w, len(w) AS n FROM (SELECT item_id, {_words("text")} AS w FROM eval_items)),
     ig AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 11], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, n - 10)) AS k FROM i WHERE n >= 12)),

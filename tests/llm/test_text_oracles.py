@@ -11,4 +11,5 @@ def test_query_equals_its_oracle(spark, name):
 
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES)))
 def test_query_without_oracle_runs(spark, name):
-    assert len(queries.QUERIES[name](spark, "/root/testdata/sf0.001").toPandas().columns)
+    df = queries.QUERIES[name](spark, "/root/testdata/sf0.001").toPandas()
+    assert len(df) and df.notna().any().all()
