@@ -211,8 +211,8 @@ def shares(mix: DataFrame, goals: list[tuple[str, float, int]]) -> DataFrame:
     want = spark.createDataFrame([(g[0], g[1], g[2], i) for i, g in enumerate(goals)], "source string, objetivo double, max_repeats int, i int")
     weight = F.col("tokens") * F.col("copias")
     used = mix.groupBy(F.col("asignada").alias("source")).agg(F.count_if(F.col("copias") > 0).alias("documentos"), F.sum(weight).alias("tokens_usados"), F.max("copias").alias("mas_copias"))
-    total = mix.agg(F.sum(weight).alias("_t"), F.array(*[F.sum(weight * F.col("p")[i]) for i in range(len(goals))]).alias("_m"))
+    total = mix.agg(F.sum(weight).alias("_t"), F.max(F.when(F.col("copias") > 0, F.col("tokens"))).alias("_g"), F.array(*[F.sum(weight * F.col("p")[i]) for i in range(len(goals))]).alias("_m"))
     j = want.join(used, "source", "left").crossJoin(F.broadcast(total))  # one row
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     share = lambda x: F.when(F.col("_t") > 0, x / F.col("_t")).otherwise(F.lit(0.0))
-    return j.select("source", "objetivo", zero("documentos").alias("documentos"), zero("tokens_usados").alias("tokens_usados"), share(zero("tokens_usados")).alias("parte"), share(F.get("_m", F.col("i"))).alias("parte_esperada"), zero("mas_copias").alias("mas_copias"), "max_repeats")
+    return j.select("source", "objetivo", zero("documentos").alias("documentos"), zero("tokens_usados").alias("tokens_usados"), share(zero("tokens_usados")).alias("parte"), share(F.get("_m", F.col("i"))).alias("parte_esperada"), share(zero("_g")).alias("mayor_documento"), zero("mas_copias").alias("mas_copias"), "max_repeats")
