@@ -23,9 +23,11 @@ def completeness(df: DataFrame, approximate: bool = False) -> DataFrame:
     long = wide.select("_n", F.explode(F.array(*[part(i, c) for i, c in enumerate(df.columns)])).alias("p")).select("p.columna", F.col("_n").alias("filas"), "p.nulos", "p.vacios", *(["p.distintos"] if approximate else []))
     if approximate:
         return long
-    # exact: one grouped distinct over (column, value)
-    item = lambda c: F.struct(F.lit(c).alias("columna"), F.col(c).cast("string").alias("v"))
-    d = df.select(F.explode(F.array(*[item(c) for c in df.columns])).alias("p")).select("p.*").where("v is not null").groupBy("columna", "v").agg(F.lit(1).alias("_"))
+    # exact: one grouped distinct over (column, 128-bit fingerprint of the value), so that no long text is shuffled
+    item = lambda i, c: F.struct(F.lit(i).alias("i"), F.xxhash64(c).alias("a"), F.xxhash64(F.lit(7), c).alias("b"), F.col(c).isNotNull().alias("ok"))
+    names = F.array(*[F.lit(c) for c in df.columns])
+    d = df.select(F.explode(F.array(*[item(i, c) for i, c in enumerate(df.columns)])).alias("p")).select("p.*").where("ok").groupBy("i", "a", "b").agg(F.lit(1).alias("_"))
+    d = d.select(F.get(names, F.col("i")).alias("columna"))
     return long.join(d.groupBy("columna").agg(F.count("*").alias("distintos")), "columna", "left").withColumn("distintos", F.coalesce("distintos", F.lit(0)))
 
 

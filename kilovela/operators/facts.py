@@ -51,7 +51,7 @@ def build(df: DataFrame, spec: FactSpec, plants: DataFrame | None = None, agents
     if plants is not None:
         f = f.join(plants.select("codigo_planta", "planta_key"), "codigo_planta", "left")
     if agents is not None:
-        f = temporal(f, agents, ("codigo_agente", "codigo_agente"), "_day", "fecha_inicio", "fecha_fin", ["agente_key"])
+        f = temporal(f, agents, ("codigo_agente", "codigo_agente"), "_day", "fecha_inicio", "fecha_fin", ["agente_key"], salts=8)
     keys = [c for c, x in (("planta_key", plants), ("agente_key", agents)) if x is not None]
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (*spec.key, spec.when)]
     return f.select(

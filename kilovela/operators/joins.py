@@ -22,18 +22,25 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
     return keys.join(parent.select(F.col(parent_key).alias(key)).distinct(), key, "left_anti")
 
 
-def temporal(fact: DataFrame, dim: DataFrame, on: tuple[str, str], at: str, start: str, end: str, take: list[str]) -> DataFrame:
-    """Left join to the version valid at ``at``, both ends inclusive; equal key in the hash, the range as residual."""
+def temporal(fact: DataFrame, dim: DataFrame, on: tuple[str, str], at: str, start: str, end: str, take: list[str], salts: int = 1) -> DataFrame:
+    """Left join to the version valid at ``at``, both ends inclusive; equal key in the hash, the range as residual. With ``salts`` the
+    versions are repeated so often and the facts of a hot key spread by their times."""
     d = dim.select(F.col(on[1]).alias("_k"), F.col(start).alias("_a"), F.col(end).alias("_b"), *take)
     cond = (F.col(on[0]) == F.col("_k")) & (F.col(at) >= F.col("_a")) & (F.col(at) <= F.col("_b"))
-    return fact.join(d, cond, "left").drop("_k", "_a", "_b")
+    if salts > 1:
+        d = d.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        cond &= F.pmod(F.xxhash64(at), F.lit(salts)) == F.col("_s")
+    return fact.join(d, cond, "left").drop("_k", "_a", "_b", "_s")
 
 
-def validity(left: DataFrame, right: DataFrame, key: str, at: str, start: str, end: str) -> DataFrame:
+def validity(left: DataFrame, right: DataFrame, key: str, at: str, start: str, end: str, salts: int = 1) -> DataFrame:
     """As ``temporal`` with open bounds where NULL; all right columns are kept, so several rows may match."""
     r = right.withColumn(start, F.coalesce(start, F.to_date(F.lit(OPEN_FROM)))).withColumn(end, F.coalesce(end, F.to_date(F.lit(OPEN_TO)))).withColumnRenamed(key, "_k")
     cond = (F.col(key) == F.col("_k")) & (F.col(at) >= F.col(start)) & (F.col(at) <= F.col(end))
-    return left.join(r, cond, "left").drop("_k")
+    if salts > 1:
+        r = r.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        cond &= F.pmod(F.xxhash64(at), F.lit(salts)) == F.col("_s")
+    return left.join(r, cond, "left").drop("_k", "_s")
 
 
 def overlapping(df: DataFrame, key: str, start: str, end: str) -> DataFrame:

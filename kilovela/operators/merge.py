@@ -16,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ACTIONS = ("insert", "update", "delete", "retire", "keep")
 
@@ -96,10 +97,14 @@ def insert_absent(target: DataFrame, seed: DataFrame, keys: list[str]) -> DataFr
 
 
 class Table:
-    """A keyed snapshot table on Parquet with an atomic switch and a history (version, time, operation, metrics)."""
+    """A keyed snapshot table on Parquet with an atomic switch and a history (version, time, operation, metrics).
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    With ``keys`` the rows lie in ``buckets`` parts by a hash of the keys; a merge by these keys then reads and writes the touched parts
+    only, and the commit names for each part the folder that holds it. Without, a version is one folder.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str] | None = None, buckets: int = 64):
+        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), keys, buckets
         jvm = spark.sparkContext._jvm
         self._p = lambda x: jvm.org.apache.hadoop.fs.Path(x)
         self.fs = self._p(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -111,20 +116,37 @@ class Table:
         rows = self.spark.read.text(f"{self.path}/_commits/*.json").collect()  # one line per commit
         return sorted((json.loads(r[0]) for r in rows), key=lambda x: x["version"])
 
-    def read(self, version: int | None = None) -> DataFrame:
+    def read(self, version: int | None = None, parts: set[int] | None = None) -> DataFrame:
+        """The table, or of a table with keys the rows of some parts."""
         h = self.history()
         if not h:
             raise FileNotFoundError(self.path)
-        at = h[-1]["version"] if version is None else version
-        return self.spark.read.parquet(f"{self.path}/{next(x['folder'] for x in h if x['version'] == at)}")
-
-    def write(self, df: DataFrame, operation: str, counts: dict[str, int] | None = None) -> int:
+        at = h[-1] if version is None else next(x for x in h if x["version"] == version)
+        folders = [f for k, f in at["parts"].items() if parts is None or int(k) in parts]
+        schema = T.StructType.fromJson(at["schema"])
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in folders])
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def write(self, df: DataFrame, operation: str, counts: dict[str, int] | None = None, touched: set[int] | None = None) -> int:
+        """A new version of ``df``, or of a table with keys one in which ``df`` replaces the ``touched`` parts."""
         h = self.history()
         v = h[-1]["version"] + 1 if h else 0
         folder = f"v{v:08d}_{uuid.uuid4().hex}"  # two writers never share one; the commit line names the winner's
-        df.write.parquet(f"{self.path}/{folder}")
-        rows = self.spark.read.parquet(f"{self.path}/{folder}").count()
-        line = json.dumps({"version": v, "timestamp": time.time(), "operation": operation, "rows": rows, "folder": folder, "metrics": counts or {}})
+        if self.keys is None:
+            df.write.parquet(f"{self.path}/{folder}")
+            parts = {"0": folder}
+            rows = self.spark.read.schema(df.schema).parquet(f"{self.path}/{folder}").count()
+        else:
+            df.withColumn("_part", self._bucket()).repartition("_part").write.partitionBy("_part").parquet(f"{self.path}/{folder}")
+            new = {x.getPath().getName().split("=")[1] for x in self.fs.listStatus(self._p(f"{self.path}/{folder}")) if x.getPath().getName().startswith("_part=")}
+            kept = {k: f for k, f in (h[-1]["parts"].items() if h and touched is not None else ()) if int(k) not in touched}
+            parts = kept | {k: f"{folder}/_part={k}" for k in new}
+            rows = sum(self.spark.read.schema(df.schema).parquet(*[f"{self.path}/{f}" for f in fs]).count() for fs in [list(parts.values())] if fs)
+        line = json.dumps({"version": v, "timestamp": time.time(), "operation": operation, "rows": rows, "parts": parts, "schema": json.loads(df.schema.json()), "metrics": counts or {}})
         tmp, log = self._p(f"{self.path}/_commits/.{folder}.tmp"), self._p(f"{self.path}/_commits/{v:08d}.json")
         out = self.fs.create(tmp, True)
         out.write(bytearray(line, "utf-8"))
@@ -143,13 +165,18 @@ class Table:
         return self.write(self.read().where(~F.coalesce(where, F.lit(False))).unionByName(df, allowMissingColumns=True), "REPLACE SLICE")
 
     def merge(self, source: DataFrame, keys: list[str], columns: list[str], now: Column, missing: str = "keep", **stamps) -> dict[str, int]:
+        """Merge by ``keys``. Where these are the table's own and rows absent from the source stay as they are, only the parts with source
+        rows are read and written; ``keep`` then counts the rows of these parts."""
         from kilovela.session import stage
 
-        target = self.read() if self.history() else source.limit(0)
+        touched = None
+        if self.keys == keys and missing == "keep" and self.history():
+            touched = {r["b"] for r in source.select(self._bucket().alias("b")).distinct().collect()}  # at most `buckets` numbers
+        target = self.read(parts=touched) if self.history() else source.limit(0)
         p = stage(plan(target, source, keys, columns, missing, stamps.get("active")), "merge")
         counts = {r["_action"]: r["filas"] for r in metrics(p).collect()}  # five rows at most
         if set(counts) - {"keep"} or not self.history():
-            self.write(apply(p, target, columns, now, **stamps), "MERGE", counts)
+            self.write(apply(p, target, columns, now, **stamps), "MERGE", counts, touched)
         return counts
 
 

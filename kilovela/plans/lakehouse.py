@@ -908,7 +908,7 @@ def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     base = f"{shared_dir(spark)}/kv_stream_{uuid.uuid4().hex}"
     src = f"{base}/in"
     table(spark, d, "customer").select("c_custkey", "c_acctbal").write.parquet(src)
-    t = merge.Table(spark, f"{base}/table")
+    t = merge.Table(spark, f"{base}/table", ["c_custkey"], buckets=8)
     s = spark.readStream.schema("c_custkey long, c_acctbal double").parquet(src)
     merge_stream(s, t, ["c_custkey"], ["c_acctbal"], [F.desc_nulls_last("c_acctbal")], f"{base}/checkpoint").awaitTermination()
     return t.read()

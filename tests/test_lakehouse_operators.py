@@ -342,3 +342,18 @@ def test_loader_gate_and_flags(frame):
     with pytest.raises(ValueError):
         loaders.incoming(frame(ddl, [row(1, " ", "x", 1)]), None, spec)
     assert loaders.incoming(frame(ddl), None, spec).count() == 0
+
+
+def test_a_merge_by_the_tables_keys_touches_only_their_parts(spark, frame, tmp_path):
+    t = merge.Table(spark, str(tmp_path / "t"), ["k"], buckets=16)
+    now = F.lit("2026-01-01").cast("timestamp")
+    t.merge(frame("k int, v int", [(i, i) for i in range(200)] + [(None, -1)]), ["k"], ["v"], now)
+    first = t.history()[-1]["parts"]
+    counts = t.merge(frame("k int, v int", [(3, 30), (500, 5), (None, -2)]), ["k"], ["v"], now)
+    parts = t.history()[-1]["parts"]
+    assert counts["update"] == 2 and counts["insert"] == 1 and sum(first[k] != parts[k] for k in first) <= 3
+    want = sorted([*((i, 30 if i == 3 else i) for i in range(200)), (500, 5), (None, -2)], key=str)
+    assert frame.rows(t.read()) == want and t.history()[-1]["rows"] == 202 and t.read(0).where("k = 3").first()["v"] == 3
+    assert set(t.merge(frame("k int, v int", [(3, 30)]), ["k"], ["v"], now)) == {"keep"} and len(t.history()) == 2
+    assert t.merge(frame("k int, v int", [(3, 31)]), ["k"], ["v"], now, missing="delete")["delete"] == 201 and frame.rows(t.read()) == [(3, 31)]
+    assert t.merge(frame("k int, v int"), ["k"], ["v"], now) == {} and t.read().count() == 1
