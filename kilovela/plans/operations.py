@@ -121,7 +121,7 @@ _GOK = "fecha_hora IS NOT NULL AND codigo_variable <> '' AND codigo_duracion <>
 _GPICK = lambda where: f"(SELECT * FROM {_GCLEAN} WHERE {_GOK} AND {where} QUALIFY row_number() OVER (PARTITION BY {_GK} ORDER BY ingestion_timestamp DESC NULLS LAST, load_date DESC NULLS LAST, registro_id DESC) = 1)"
 
 
-@query(f"""WITH old AS {_GPICK(f"load_date < DATE '{SPLIT}'")}, hw AS (SELECT max(ingestion_timestamp) AS m FROM old), new AS {_GPICK("ingestion_timestamp >= (SELECT m FROM hw)")}
+@query(f"""WITH old AS {_GPICK(f"load_date < DATE '{SPLIT}'")}, hw AS (SELECT max(ingestion_timestamp) AS m FROM old), new AS {_GPICK("((SELECT m FROM hw) IS NULL OR ingestion_timestamp >= (SELECT m FROM hw))")}
   SELECT coalesce(n.codigo_planta, o.codigo_planta) AS codigo_planta, coalesce(n.codigo_agente, o.codigo_agente) AS codigo_agente, coalesce(n.fecha_hora, o.fecha_hora) AS fecha_hora, coalesce(n.version, o.version) AS version, coalesce(n.codigo_variable, o.codigo_variable) AS codigo_variable, coalesce(n.unidad_medida, o.unidad_medida) AS unidad_medida, coalesce(n.codigo_duracion, o.codigo_duracion) AS codigo_duracion,
     CASE WHEN n.fecha_hora IS NOT NULL THEN n.valor ELSE o.valor END AS valor, coalesce(n.codigo_planta, o.codigo_planta) IN (SELECT codigo_planta FROM plantas) AS planta_encontrada, CASE WHEN o.fecha_hora IS NULL THEN TIMESTAMP '{TODAY}' ELSE TIMESTAMP '2026-06-12' END AS silver_created_at
   FROM old o FULL JOIN new n USING ({_GK})""")
