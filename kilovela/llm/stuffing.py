@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -277,16 +277,20 @@ class Model:
         for i, j, n in zip(index, range(len(pages)), sizes, strict=True):
             out[i] = z[j, :n]
 
-    def updated(self, counts: dict[tuple[int, int, int], int], weight: float) -> Model:
-        """Estimates from (feature or -1 for moves, -2 for starts; state; value) counts; the start model counts as ``weight`` lines
-        of each state, which keeps chances off zero and fades as the corpus grows."""
+    def updated(self, counts: dict[tuple[int, int, int], int], keep: float) -> Model:
+        """Estimates from (feature or -1 for moves, -2 for starts; state; value) counts, of which the start model makes up the share
+        ``keep``: chances stay off zero, and a corpus of any size is trained alike. A state without lines stays at its start."""
         base, m = Model(), Model()
         k = range(len(STATES))
-        table = lambda j, states, values: np.array([[counts.get((j, a, v), 0) for v in values] for a in states], dtype=float)
-        mix = lambda prior, got: np.log((got + weight * np.exp(prior)) / (got.sum(1, keepdims=True) + weight))
-        m.emit = [mix(e, table(j, k, range(e.shape[1]))) for j, e in enumerate(base.emit)]
-        m.move = mix(base.move, table(-1, k, k))
-        m.start = mix(base.start[None], table(-2, (0,), k))[0]
+
+        def mix(prior: np.ndarray, j: int, states: Iterable[int]) -> np.ndarray:
+            got = np.array([[counts.get((j, a, v), 0) for v in range(prior.shape[1])] for a in states], dtype=float)
+            total = got.sum(1, keepdims=True)
+            return np.log(np.where(total > 0, (1 - keep) * got / np.maximum(total, 1) + keep * np.exp(prior), np.exp(prior)))
+
+        m.emit = [mix(e, j, k) for j, e in enumerate(base.emit)]
+        m.move = mix(base.move, -1, k)
+        m.start = mix(base.start[None], -2, (0,))[0]
         return m
 
 
@@ -314,7 +318,7 @@ def featured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", chars:
     return base.mapInArrow(run, "doc_id long, s array<int>, n array<int>, k array<int>")
 
 
-def train(feats: DataFrame, rounds: int = 8, weight: float = 10.0, still: float = 1e-3) -> Model:
+def train(feats: DataFrame, rounds: int = 8, keep: float = 0.1, still: float = 1e-3) -> Model:
     """Viterbi training over all pages until the states' shares of the lines stand still; the driver receives a few hundred counts
     per task and round."""
     model, last = Model(), None
@@ -340,7 +344,7 @@ def train(feats: DataFrame, rounds: int = 8, weight: float = 10.0, still: float
 
         rows = feats.select("s", "n").mapInPandas(count, "j int, a int, v int, c long").groupBy("j", "a", "v").agg(F.sum("c").alias("c")).collect()
         counts = {(r["j"], r["a"], r["v"]): r["c"] for r in rows}
-        model = model.updated(counts, weight)
+        model = model.updated(counts, keep)
         share = np.array([sum(counts.get((0, a, v), 0) for v in range(SIZES[0])) for a in range(len(STATES))], dtype=float)
         share /= max(share.sum(), 1.0)
         if last is not None and np.abs(share - last).max() <= still:

@@ -445,6 +445,13 @@ def test_training_finds_what_its_start_does_not(frame):
     assert after[0] >= 0.99 and after[1] >= 0.99 and before[0] < after[0] - 0.03
 
 
+def test_training_is_the_same_at_every_size(frame):
+    pages = planted(500, 5)
+    one = stuffing.train(stuffing.featured(frame("doc_id long, text string", [r[:2] for r in pages])))
+    ten = stuffing.train(stuffing.featured(frame("doc_id long, text string", [r[:2] for r in pages] * 10)))
+    assert all((abs(a - b) < 1e-9).all() for a, b in zip([*one.emit, one.move, one.start], [*ten.emit, ten.move, ten.start], strict=True))
+
+
 def test_pages(frame):
     rows = [(i, t, "x", 1) for i, t in enumerate(SPAM)] + [(100 + i, t, "x", 1) for i, t in enumerate(FINE)] + [(1000 + i, t, "x", 1) for i, t, _ in planted(1500, 3)]
     rows += [(300, (PROSE + " ") * 3 + "\n" + " | ".join(["batería litio oferta"] * 8), "x", 1), (0, SPAM[0], "x", 1)]
