@@ -1,7 +1,8 @@
 """Mixing sources to target token weights with soft membership.
 
 A classifier fitted on labelled rows gives every document without a (known) source posteriors over the sources; labelled
-documents belong to their source. Each document gets a rate between 0 and the repeats its source allows; projected gradient
+documents belong to their source; in a thread the labels of the other documents count as evidence, by how often two of a thread
+agree. Each document gets a rate between 0 and the repeats its source allows; projected gradient
 least squares brings the expected tokens per source, sum of rate * tokens * membership, to the targets. Rates become whole
 copies by hash rounding, so a document is never used more often than allowed.
 
@@ -31,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kilovela.session import stage
+from kilovela.session import join_small, stage
 
 if TYPE_CHECKING:
     import tiktoken
@@ -114,11 +115,39 @@ def fit_classifier(docs: DataFrame, sources: list[str], doc_id: str, text: str,
     return Classifier(sources, rows[text].tolist(), rows[source].tolist())
 
 
-def weighed(docs: DataFrame, targets: DataFrame, tokenizer_dir: str = TOKENIZERS, vocabulary: str = VOCABULARY, sample: int = 20_000, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> tuple[DataFrame, list[tuple[str, float, int]]]:
-    """(doc_id, source, tokens, p, cap) per document with tokens, staged, and the targets [(source, share, max_repeats)]."""
+def with_neighbours(p: np.ndarray, near: np.ndarray | None, agree: float) -> np.ndarray:
+    """Posterior after the labels of the thread's other documents: each agrees with the document's own source by the chance ``agree``."""
+    if near is None or len(p) < 2:
+        return p
+    n = np.asarray(near, dtype=float)
+    x = np.log(np.maximum(p, 1e-300)) + n * np.log(agree) + (n.sum() - n) * np.log((1 - agree) / (len(p) - 1))
+    x = np.where(p > 0, np.exp(x - x[p > 0].max()), 0.0) if (p > 0).any() else p
+    return x / x.sum() if x.sum() else p
+
+
+def _with_thread(base: DataFrame, names: list[str]) -> tuple[DataFrame, float]:
+    """Adds ``near``, how many labelled documents of each source a document's thread has (NULL for labelled documents and where there
+    are none), and gives the chance that two labelled documents of a thread agree. Labels are counted per thread and source with a
+    map-side combine; only threads with a document that lacks its source are joined."""
+    count = [F.count_if(F.col("source") == n).alias(f"n{i}") for i, n in enumerate(names)]
+    per = stage(base.groupBy("_thread").agg(*count, F.count_if(F.col("source").isNull()).alias("open")), "threads")
+    n = sum((F.col(f"n{i}") for i in range(len(names))), F.lit(0))
+    same = sum((F.col(f"n{i}") * (F.col(f"n{i}") - 1) for i in range(len(names))), F.lit(0))
+    r = per.agg(F.sum(same).alias("same"), F.sum(n * (n - 1)).alias("pairs")).first()  # two numbers
+    agree = ((r["same"] or 0) + 1) / ((r["pairs"] or 0) + 2)
+    votes = per.where((F.col("open") > 0) & (n > 0)).select("_thread", F.array(*[F.col(f"n{i}") for i in range(len(names))]).alias("near"))
+    j = join_small(base, votes, ["_thread"], "left", salt_of="doc_id")
+    return j.withColumn("near", F.when(F.col("source").isNull(), F.col("near"))), agree
+
+
+def weighed(docs: DataFrame, targets: DataFrame, tokenizer_dir: str = TOKENIZERS, vocabulary: str = VOCABULARY, sample: int = 20_000, doc_id: str = "doc_id", text: str = "text", source: str = "source", parent: str | None = None) -> tuple[DataFrame, list[tuple[str, float, int]]]:
+    """(doc_id, source, tokens, p, cap) per document with tokens, staged, and the targets [(source, share, max_repeats)]. With ``parent``
+    (the column that names a reply's first document) the labels of a document's thread are evidence too."""
     goals = sorted((r["source"], float(r["target_share"] or 0), int(r["max_repeats"] or 0)) for r in targets.where("source is not null").collect())  # one row per source
     names = [g[0] for g in goals]
     model = docs.sparkSession.sparkContext.broadcast(fit_classifier(docs, names, doc_id, text, source, sample))
+    base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text"), F.coalesce(F.col(parent or doc_id), F.col(doc_id)).cast("long").alias("_thread"))
+    base, agree = _with_thread(base, names) if parent else (base.withColumn("near", F.lit(None).cast("array<long>")), 0.5)
     path, caps = f"{tokenizer_dir}/{vocabulary}", np.array([g[2] for g in goals])
     at = {s: i for i, s in enumerate(names)}
 
@@ -126,12 +155,12 @@ def weighed(docs: DataFrame, targets: DataFrame, tokenizer_dir: str = TOKENIZERS
         one = np.eye(len(names)).tolist()
         for b in batches:
             p, cap = [], []
-            for s, t in zip(b["source"], b["text"], strict=True):
+            for s, t, near in zip(b["source"], b["text"], b["near"], strict=True):
                 if s in at:
                     p.append(one[at[s]])
                     cap.append(int(caps[at[s]]))
                 elif s is None:
-                    q = model.value.posterior(t)
+                    q = with_neighbours(model.value.posterior(t), near, agree)
                     p.append(q.tolist())
                     cap.append(int(caps[int(q.argmax())]))
                 else:
@@ -139,8 +168,7 @@ def weighed(docs: DataFrame, targets: DataFrame, tokenizer_dir: str = TOKENIZERS
                     cap.append(0)
             yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "tokens": n_tokens(b["text"], path), "p": p, "cap": cap})
 
-    base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text"))
-    out = base.mapInPandas(run, "doc_id long, source string, tokens long, p array<double>, cap int")
+    out = base.drop("_thread").mapInPandas(run, "doc_id long, source string, tokens long, p array<double>, cap int")
     return stage(out.where("tokens > 0"), "weighed"), goals
 
 

@@ -84,11 +84,11 @@ def p9_targets_met(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"))[0].drop("p", "cap")
+    return mixing.mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"), parent="parent_id")[0].drop("p", "cap")
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.shares(*mixing.mixture(table(spark, d, "documents"), table(spark, d, "mix_targets")))
+    return mixing.shares(*mixing.mixture(table(spark, d, "documents"), table(spark, d, "mix_targets"), parent="parent_id"))
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:

@@ -368,6 +368,22 @@ def test_the_classifier_does_not_depend_on_partitions(frame):
     assert (one.like == two.like).all() and one.heat == two.heat
 
 
+def test_a_threads_labels_are_evidence(frame):
+    rnd, rows, truth = random.Random(3), [], {}
+    for k in range(300):  # texts say nothing; threads of four share their source, but for one document in twenty
+        s = rnd.choices("abc", [70, 20, 10])[0]
+        for i in range(4):
+            own = s if rnd.random() > 0.05 else rnd.choice("abc")
+            hide = i == 3 and k % 3 == 0
+            truth[4 * k + i] = own
+            rows.append((4 * k + i, "el de que", None if hide else own, 4 * k if i else None))
+    rows.append((9999, "el de que", None, None))
+    goals = frame("source string, target_share double, max_repeats int", [("a", 0.5, 2), ("b", 0.3, 3), ("c", 0.2, 4)])
+    m, _ = mixing.mixture(frame("doc_id long, text string, source string, parent_id long", rows), goals, parent="parent_id")
+    got = {r["doc_id"]: r["asignada"] for r in m.where("source is null").collect()}
+    assert sum(got[i] == truth[i] for i in got if i != 9999) >= 0.9 * (len(got) - 1) and got[9999] == "a"
+
+
 def test_mixture_with_an_absent_source_and_of_nothing(frame):
     goals = frame("source string, target_share double, max_repeats int", [("a", 0.5, 1), ("b", 0.3, 3), ("zz", 0.2, 4)])
     m, g = mixing.mixture(frame(DOC, corpus(300)), goals)
