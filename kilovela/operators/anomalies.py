@@ -83,16 +83,19 @@ def levels(r: DataFrame, high: float, low: float) -> DataFrame:
     The sketch bounds the median. Where no bucket of the source reaches into the bands that the limits leave open (``high`` times the
     bounds, a ``low``-th of them) any value within the bounds judges alike; only sources with readings there are read again
     for their exact medians."""
-    whole = stage(quantiles.merge(_sketch(r), KEY), "whole")
-    bounds = stage(quantiles.median_bounds(whole, KEY), "bounds")
+    sk = _sketch(r)
     lo, hi, m0, m1 = F.col("lo"), F.col("hi"), F.col("med_lo"), F.col("med_hi")
     near = ((hi > m0 * high) & (lo <= m1 * high)) | ((hi >= m0 / low) & (lo < m1 / low))
-    unsure = stage(join_small(whole, bounds, KEY, "inner").where(near & (m0 < m1)).select(*KEY).distinct(), "unsure")
-    few = fits_broadcast(unsure, 100_000)
-    mark = F.broadcast(unsure) if few else unsure
+    x = quantiles.with_median_bounds(quantiles.merge(sk, KEY), KEY)
+    known = stage(x.groupBy(*KEY).agg(F.max("med_hi").alias("mediana"), F.bool_or(near & (m0 < m1)).alias("unsure")), "levels")
+    unsure = known.where("unsure").select(*KEY)
+    n = unsure.limit(100_001).count()
+    if not n:
+        return known.select(*KEY, "mediana")
+    mark = F.broadcast(unsure) if n <= 100_000 else unsure
     pos = r.where((F.col("v") > 0) & F.col("src").isNotNull()).join(mark, KEY, "left_semi")
-    exact = quantiles.exact_medians(pos, whole.join(mark, KEY, "left_semi"), KEY, "v", broadcast=few)
-    return stage(bounds.join(exact, KEY, "left").select(*KEY, F.coalesce("mediana", "med_hi").alias("mediana")), "med")
+    exact = quantiles.exact_medians(pos, quantiles.merge(sk.join(mark, KEY, "left_semi"), KEY), KEY, "v", "_exact", broadcast=n <= 100_000)
+    return stage(known.join(exact, KEY, "left").select(*KEY, F.coalesce("_exact", "mediana").alias("mediana")), "med")
 
 
 def fences(r: DataFrame, stretch: float = 3.0) -> DataFrame:

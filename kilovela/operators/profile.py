@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilovela.operators import quantiles
-from kilovela.session import fits_broadcast, join_small, stage
+from kilovela.session import fits_broadcast, stage
 
 
 @dataclass(frozen=True)
@@ -157,7 +157,7 @@ def findings(watched: list[Watched], min_rows: int = 20, null_share: float = 0.2
     sums = [F.count("*").alias("filas"), F.count("v").alias("llenas"), F.count_if("fuera").alias("fuera"), F.count("x").alias("n_x"), F.sum("x").cast("decimal(38,6)").alias("suma"), F.sum(F.col("x") * F.col("x")).cast("decimal(38,12)").alias("suma2")]
     sk = stage(long.groupBy(*PAIR, slot.alias("bucket")).agg(*sums, F.min("v").alias("lo"), F.max("v").alias("hi")), "sk")
     total = [F.sum(c).alias(c) for c in ("filas", "llenas", "fuera", "n_x", "suma", "suma2")]
-    mom = stage(sk.groupBy(*PAIR).agg(*total, F.sum(F.when(F.col("bucket").isNotNull(), F.col("filas"))).alias("validos")).where(F.col("filas") >= min_rows), "mom")
+    mom = sk.groupBy(*PAIR).agg(*total, F.sum(F.when(F.col("bucket").isNotNull(), F.col("filas"))).alias("validos")).where(F.col("filas") >= min_rows)
     named = lambda df, h: df.select(*PAIR, F.lit(h).alias("hallazgo"))
     nulls = named(mom.where(F.col("filas") - F.col("llenas") > F.col("filas") * null_share), "nulos")
     broken = named(mom.where(F.col("fuera") > F.col("llenas") * broken_share), "rango")
@@ -180,10 +180,9 @@ def findings(watched: list[Watched], min_rows: int = 20, null_share: float = 0.2
     again = judged.where("movida or central").select(*PAIR)
     few = fits_broadcast(again, 100_000)
     part = long.join(F.broadcast(again) if few else again, PAIR)
-    exact = quantiles.exact_medians(part, join_small(sk, again, PAIR, "inner"), PAIR, "v", broadcast=few)
+    exact = quantiles.exact_medians(part, sk.join(F.broadcast(again) if few else again, PAIR), PAIR, "v", broadcast=few)
     # a load that cannot hold the median of the medians counts by its bound, which lies on the same side of it
-    med = stage(judged.join(exact, PAIR, "left").withColumn("valor", F.coalesce("mediana", "med_lo")), "med")
-    mid = med.groupBy("tabla", "columna").agg(F.percentile("valor", F.lit(0.5)).alias("_m"))
-    f = med.where("movida").join(F.broadcast(mid), ["tabla", "columna"])  # one row per column
+    med = judged.join(exact, PAIR, "left").withColumn("valor", F.coalesce("mediana", "med_lo"))
+    f = med.withColumn("_m", F.percentile("valor", F.lit(0.5)).over(by)).where("movida")  # one row per load
     moved = named(f.where((F.col("mediana") > F.col("_m") * ratio) | (F.col("mediana") < F.col("_m") / ratio)), "distribucion")
     return nulls.unionByName(broken).unionByName(moved)

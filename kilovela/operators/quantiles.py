@@ -46,13 +46,19 @@ def approx_quantiles(sk: DataFrame, keys: list[str], qs: dict[str, float]) -> Da
     return c.groupBy(*keys).agg(*aggs, F.max("_total").alias("n"))
 
 
-def median_bounds(sk: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, med_lo, med_hi): least and greatest value the median can have, from the buckets of the one or two middle values."""
+def with_median_bounds(sk: DataFrame, keys: list[str]) -> DataFrame:
+    """The sketch's rows with the least and greatest value their group's median can have (med_lo, med_hi)."""
     c = _cumulated(sk, keys, "bucket")
+    w = Window.partitionBy(*keys)
     at = lambda shift: F.floor((F.col("_total") + shift) / 2)
     has = lambda shift: (at(shift) > F.col("_upto") - F.col("n")) & (at(shift) <= F.col("_upto"))
-    pick = lambda shift, x: F.max(F.when(has(shift), F.col(x)))
-    return c.groupBy(*keys).agg(*[((pick(1, x) + pick(2, x)) / 2).alias(f"med_{x}") for x in ("lo", "hi")])
+    pick = lambda shift, x: F.max(F.when(has(shift), F.col(x))).over(w)
+    return c.withColumns({f"med_{x}": (pick(1, x) + pick(2, x)) / 2 for x in ("lo", "hi")}).drop("_upto", "_total")
+
+
+def median_bounds(sk: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, med_lo, med_hi): the same, one row per group."""
+    return with_median_bounds(sk, keys).groupBy(*keys).agg(F.max("med_lo").alias("med_lo"), F.max("med_hi").alias("med_hi"))
 
 
 def exact_medians(df: DataFrame, sk: DataFrame, keys: list[str], value: str, out: str = "mediana", broadcast: bool = False) -> DataFrame:
