@@ -41,7 +41,8 @@ LISTED = np.array([False, False, True, True, True, True])
 FEATURES = {"enlace": 3, "etiqueta": 3, "repetido": 4, "corto": 3, "numero": 3, "codigo": 2, "largo": 3, "frase": 3, "pobre": 3, "enumera": 3}
 SIZES = list(FEATURES.values())
 
-LINK = re.compile(r"<a\b[^>]*>.*?</a>|!?\[[^\]\n]*\]\([^)\s]*\)|(?:\b[a-z][a-z0-9+.-]*://|\bwww\.)[^\s<>\"')\]]+", re.I)
+# Each alternative stops where another could begin, so that no text, however odd, is scanned more than a few times.
+LINK = re.compile(r"<a\b[^<>\n]*>[^<\n]*(?:<(?!/?a\b)[^<\n]*)*</a>|!?\[[^\[\]\n]*\]\([^()\s]*\)|(?:\b[a-z][a-z0-9+.-]{0,20}://|\bwww\.)[^\s<>\"')\]]+", re.I)
 CODED = re.compile(r"^[ \t]*(```|~~~).*?(?:^[ \t]*\1|\Z)|<(pre|code)\b.*?(?:</\2>|\Z)", re.S | re.M | re.I)
 SEPARATORS = ",;|·•\t/»–—#\n"
 SYMBOLS = "=<>{}[]()_\\`"

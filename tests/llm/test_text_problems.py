@@ -508,3 +508,18 @@ def test_viterbi_against_brute_force():
 def test_a_very_long_page_is_read_whole(frame):
     t = PROSE + "\n" + " | ".join(["batería litio oferta"] * 60_000)
     assert stuffing.pages(frame("doc_id long, text string", [(1, t)])).first()["palabras"] > 180_000
+
+
+ODD = ["<a " * 60_000, "[" * 200_000, "a." * 100_000, "```" * 60_000, "(" * 200_000, "-" * 200_000, " - " * 60_000, "<a href=x>y" * 20_000, "](" * 100_000, "é\u0301" * 100_000, "# " * 100_000, "GUEMZACA" + " " * 200_000 + "2"]
+
+
+@pytest.mark.parametrize("k", range(len(ODD)))
+def test_odd_long_texts_take_no_time(k):
+    import time
+
+    began = time.time()
+    stuffing.features([ODD[k]])
+    ix = index([(c, n) for c, n, _ in NAMES])
+    match(ix, ODD[k])
+    leakage.placed(ODD[k])
+    assert time.time() - began < 8
