@@ -118,6 +118,43 @@ def test_source_weights_count_unanimous_groups(frame):
     assert w == pytest.approx({s: -math.log(e) for s, e in want.items()})
 
 
+def test_votes_decide_under_an_order_too(frame, monkeypatch):
+    """The survivors under a declared order are those of votes with estimated weights: without the order's constraint on the weights
+    two sources outvote a more trusted one."""
+    rows = [(1, "a", "TX1", 1.0, None, True, 1, 2), (2, "a", "TX2", 1.0, None, True, 1, 2), (3, "a", "TXF", 2.0, None, True, 1, 2)]
+    by_order = lambda: survivors.by_order(frame(GEN, rows), ["k"], "valor", "version", "ingestion_timestamp", "registro_id").first()["registro_id"]
+    assert by_order() == 3
+    monkeypatch.setattr(survivors, "ranked", lambda w, ordered=(): w.selectExpr("f", "source", "w", "0 AS band"), raising=False)
+    assert by_order() == 2
+
+
+def test_weights_under_an_order(frame):
+    """TX1 loses 1 of 2 groups, TX2 1 of 1, TXF none of 1; with two fields the one without an order keeps its own weights."""
+    rows = [(1, "a", "TX1", 1.0, None, True, 1, 2), (2, "a", "TX2", 1.0, None, True, 1, 2), (3, "a", "TXF", 2.0, None, False, 1, 2), (4, "b", "TX1", 1.0, None, None, 1, 2)]
+    s = survivors.said(survivors.claims(frame(GEN, rows), ["k"], ["valor", "flag"], "version", "ingestion_timestamp", "registro_id"), [0, 1])
+    w = survivors.discover(s, ordered=[0])
+    got = {(r["f"], r["source"]): r["w"] for r in w.collect()}
+    ln = lambda lost, n: -math.log((lost + 1) / (n + 2))
+    assert got == pytest.approx({(0, 1): ln(1, 2), (0, 2): ln(1, 1), (0, TXF): ln(0, 1), (1, 1): ln(0, 1), (1, 2): ln(0, 1), (1, TXF): ln(1, 1)})
+    top = max(ln(1, 2), ln(1, 1))
+    ranked = {(r["f"], r["source"]): (r["w"], r["band"]) for r in survivors.ranked(w, [0]).collect()}
+    assert [ranked[0, k][0] for k in (1, 2, TXF)] == pytest.approx([ln(1, 2), 3 * top, 9 * ln(0, 1)]) and ranked[1, TXF][0] == pytest.approx(ln(1, 1))
+
+
+def test_an_order_of_very_many_sources(frame):
+    """Each source outweighs all below it together, be they a thousand."""
+    rnd, rows = random.Random(8), []
+    for g in range(12):
+        some = rnd.sample(range(1, 1200), 1100 if g < 4 else rnd.randint(1, 40))
+        top = max(some)
+        rows += [(len(rows) + i, f"k{g}", f"TX{v}", 1.0 if v == top else 2.0, None, True, 1, 2) for i, v in enumerate(some)]
+    got = {r["grupo_id"]: (r["registro_id"], r["valor"]) for r in survivors.by_order(frame(GEN, rows), ["k"], "valor", "version", "ingestion_timestamp", "registro_id").collect()}
+    by = defaultdict(list)
+    for r in rows:
+        by[r[1]].append(r)
+    assert got == {min(r[0] for r in g): (max(g, key=order)[0], 1.0) for g in by.values()}
+
+
 # --- 7 canonical ---
 
 REF = "codigo string, nombre string, valor string"
