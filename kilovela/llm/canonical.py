@@ -8,7 +8,7 @@ weight is learnt: a first pass over the distinct values notes with which entries
 different entries (the generic words before a name, articles, remarks) says little. No word list is kept.
 
 The candidate of highest cosine is accepted above a threshold and with a margin over the next entry of another name. The
-threshold is learnt too: the reference names themselves, each looked up with its own entry left out, show how high the
+threshold is learnt too: all reference names, each looked up in the whole list with its own entry left out, show how high the
 cosine of a wrong entry gets. Only below it (some values of a hundred, with several typing errors in a short name) an exact
 check follows: of all candidates of cosine ``low`` or more the one of highest edit similarity, if that is high enough and
 strictly the highest. A numeral must agree, for entries that differ in it only are different entries; a value cut short
@@ -34,6 +34,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -345,15 +346,38 @@ def decide(by_reading: list[tuple[list[Found], list[Found]]], accept: float, mar
     return UNKNOWN, cosine, "nada"
 
 
-def threshold(index: Index, tests: int = 2000, share: float = 0.999) -> float:
-    """The cosine that only 1 - ``share`` of the reference names reach with an entry of another name; from ``tests`` names at most,
-    spread over the list."""
-    step = max(1, -(-len(index.names) // tests))
-    wrong = []
-    for n, key in list(zip(index.names, index.keys, strict=True))[::step]:
-        score = index.cosines(n)
-        wrong.append(max((f[0] for f in index.best(n, score) if f[2] != key), default=0.0))
-    return max(0.4, float(np.quantile(wrong, share))) if wrong else 0.4
+def wrong(index: Index, n: Name) -> float:
+    """The highest cosine of a reference name with an entry of another name."""
+    key = f"{' '.join(n.words)}|{n.numeral}"
+    return max((f[0] for f in index.best(n, index.cosines(n)) if f[2] != key), default=0.0)
+
+
+def threshold(index: Index, share: float = 0.999) -> float:
+    """The cosine that only 1 - ``share`` of the reference names reach with an entry of another name."""
+    return max(0.4, float(np.quantile([wrong(index, n) for n in index.names], share))) if index.names else 0.4
+
+
+def threshold_of(ref: DataFrame, blocks: list[Broadcast[Index]], share: float = 0.999) -> float:
+    """The same over all names of ``ref`` (codigo, nombre), each looked up in all blocks by the executors; the driver gets the names from
+    the ``share`` quantile on."""
+    names, per = ref.repartition(2 * ref.sparkSession.sparkContext.defaultParallelism), None
+    for shared in blocks:
+
+        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                yield b.assign(s=[wrong(shared.value, normal(n)) for n in b["nombre"]])
+
+        one = names.mapInPandas(run, "codigo string, nombre string, s double")
+        per = one if per is None else per.unionByName(one)
+    if len(blocks) > 1:
+        per = per.groupBy("codigo", "nombre").agg(F.max("s").alias("s"))
+    per = stage(per.select("s"), "wrong")
+    n = per.count()
+    if not n:
+        return 0.4
+    at = (n - 1) * share
+    top = [r["s"] for r in per.orderBy(F.desc("s")).limit(n - int(at)).collect()]
+    return max(0.4, float(np.quantile(top[-2:], at - int(at))))
 
 
 def weights_of(names: list[str], generic: int = 3) -> Weights:
@@ -439,14 +463,13 @@ def map_values(df: DataFrame, id_col: str, column: str, reference: DataFrame, co
         weights.words[r["w"]] = max(r["n"], weights.words.get(r["w"], 0))
     weights = Weights(weights.entries, weights.grams, weights.words)
 
-    mapped, accept, margin = None, 0.4, limits.get("margin", Index.margin)
-    for part in blocks():
-        index = Index(part, weights, **limits)
-        accept = max(accept, threshold(index))
-        shared = spark.sparkContext.broadcast((index, 2.0 if several else accept))  # 2: edit similarities in any case
+    indexes = [spark.sparkContext.broadcast(Index(part, weights, **limits)) for part in blocks()]
+    mapped, accept, margin = None, threshold_of(ref, indexes), limits.get("margin", Index.margin)
+    limit = 2.0 if several else accept  # 2: edit similarities in any case
+    for shared in indexes:
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            ix, limit = shared.value
+            ix = shared.value
             for b in batches:
                 if several:
                     got = [(v, k, kind, *f) for v in b["valor"] for k, both in enumerate(ix.candidates(v, limit)) for kind, found in enumerate(both) for f in found]

@@ -262,6 +262,35 @@ def test_the_exact_check_equals_brute_force_over_all_candidates():
             assert (len(got) > 1 and got[1][0] > best - 1e-9) == (len(ties) > 1)
 
 
+def near_names(n, twins):
+    """``n`` made-up names in order of their codes; of each two places of ``twins`` the second has the first's name but for one letter."""
+    rnd = random.Random(9)
+    out = [(f"c{i:05d}", "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(12))) for i in range(n)]
+    for a, b in zip(twins[::2], twins[1::2], strict=True):
+        out[b] = out[b][0], out[a][1][:-1] + ("A" if out[a][1][-1] != "A" else "B")
+    return out
+
+
+def test_the_threshold_is_learnt_from_all_names():
+    """Twenty names that have a near twin, among 2,100, wherever they stand in the list."""
+    for first in (0, 1):
+        assert canonical.threshold(index(near_names(2100, list(range(first, 1000, 50))))) > 0.7
+
+
+def test_the_threshold_of_several_blocks_is_that_of_one(frame):
+    """Near twins in different blocks show in the threshold as in one."""
+    names = near_names(260, [10, 110, 20, 220, 130, 230, 40, 240])
+    one = index(names)
+    blocks = [canonical.Index(names[i : i + 100], one.weights) for i in range(0, 260, 100)]
+    ref = frame("codigo string, nombre string", names)
+    send = ref.sparkSession.sparkContext.broadcast
+    want = canonical.threshold(one)
+    assert want > 0.7 > max(canonical.threshold(b) for b in blocks)
+    assert canonical.threshold_of(ref, [send(b) for b in blocks]) == pytest.approx(want, abs=1e-12)
+    assert canonical.threshold_of(ref, [send(one)]) == pytest.approx(want, abs=1e-12)
+    assert canonical.threshold_of(ref.limit(0), [send(index([]))]) == 0.4
+
+
 def test_ties_and_beginnings():
     decoys = [(f"d{a}{b}", f"FGHJKABCDE{a}{b}") for a in "LMNPQR" for b in "LMNPQR"] + [("near", "ABCLMNPQRSTWZ")]
     assert match(index([*decoys, ("right", "QBCDRFGHJS")]), "ABCDEFGHJK") == "right"
